@@ -25,7 +25,8 @@ def rnd(c: Colish, places: int = 0) -> Column:
     """SQL ROUND (half away from zero), computed on DOUBLE."""
     x = as_col(c).cast("double")
     factor = float(10**places)
-    return F.signum(x) * F.floor(F.abs(x) * factor + 0.5) / factor
+    # Whole-number arithmetic until the last step, so there is no negative zero.
+    return F.signum(x).cast("bigint") * F.floor(F.abs(x) * factor + 0.5) / factor
 
 
 def ratio(num: Colish, den: Colish) -> Column:
