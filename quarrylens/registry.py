@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylens.functions.numeric import rnd
 from quarrylens.plans.catalogue import CATALOGUE
+from quarrylens.plans.operator_queries import DEMOS, STREAMS
 from quarrylens.plans.products import PRODUCTS
 from quarrylens.sources.derived import derived_tables
 
@@ -55,4 +56,7 @@ def registered() -> dict[str, Registered]:
     for key, q in CATALOGUE.items():
         params = PARAMETERS.get(key, {})
         out[key] = lambda spark, folder, q=q, p=params: q(derived_tables(spark, folder), **p)
+    for key, fn in DEMOS.items():
+        out[key] = lambda spark, folder, fn=fn: fn(derived_tables(spark, folder))
+    out.update(STREAMS)
     return out
