@@ -14,6 +14,15 @@ from quarrylens.functions.numeric import ratio, rnd
 WORDS = r"[^\p{L}]+"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out to all cores when the input has fewer splits than there are cores.
+
+    Splitting words is CPU-bound; large inputs have many splits and pass unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sections(docs: DataFrame, heading: str = r"(?m)^(?=#{1,6} )", id_col: str = "doc_id") -> DataFrame:
     """One row per headed section (the whole text when there is no heading)."""
     return docs.select(id_col, F.posexplode(F.split("text", heading)).alias("section", "text")).filter(F.length("text") > 0)
@@ -34,11 +43,13 @@ def tokens(c: str | Column) -> Column:
     return F.filter(F.split(F.lower(text), WORDS), lambda w: F.length(w) > 0)
 
 
-def postings(chunks: DataFrame, key: list[str]) -> DataFrame:
-    """(key, term, tf, length): counts are combined on the map side."""
-    words = chunks.select(*key, tokens("text").alias("_w"))
+def postings(chunks: DataFrame, key: list[str], asked: DataFrame) -> DataFrame:
+    """(key, term, tf, length) of the asked terms; other words are dropped before anything moves."""
+    words = chunks.select(*key, tokens("text").alias("_w")).select(
+        *key, F.size("_w").alias("length"), F.explode("_w").alias("term")
+    )
     return (
-        words.select(*key, F.size("_w").alias("length"), F.explode("_w").alias("term"))
+        words.join(asked, "term", "left_semi")
         .groupBy(*key, "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
     )
@@ -47,14 +58,14 @@ def postings(chunks: DataFrame, key: list[str]) -> DataFrame:
 def keyword_topk(chunks: DataFrame, queries: DataFrame, k: int, key: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 over chunks; ``queries`` is (query_id, term), one row per distinct keyword.
 
-    Only postings of asked terms travel: they are semi-joined before counting and shuffling.
     Contributions are summed as DECIMAL, so ranks do not depend on the order of addition.
     """
+    chunks = chunks.select(*key, "text")
     sizes = chunks.select(F.size(tokens("text")).alias("n"))
     stats = sizes.agg(F.count(F.lit(1)).alias("chunks"), ratio(F.sum("n"), F.count("n")).alias("avg_len"))
     n_chunks, avg_len = stats.select("chunks").scalar(), stats.select("avg_len").scalar()
     asked = queries.select("term").distinct()
-    found = postings(chunks, key).join(asked, "term", "left_semi")
+    found = postings(chunks, key, asked)
     spread = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log1p((n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
     tf = F.col("tf").cast("double")

@@ -37,7 +37,7 @@ def month_over_month(df: DataFrame, keys: Sequence[str], period: str, measure: s
     )
 
 
-def ranked(df: DataFrame, by: str, desc: bool = True, out: str = "rank", buckets: int = 64, dense: bool = True) -> DataFrame:
+def ranked(df: DataFrame, by: str, desc: bool = True, out: str = "rank", buckets: int = 256, dense: bool = True) -> DataFrame:
     """Global (dense) rank without a single-task window.
 
     Distinct values are cut into ranges at approximate quantiles (at most ``buckets``
@@ -48,7 +48,7 @@ def ranked(df: DataFrame, by: str, desc: bool = True, out: str = "rank", buckets
     x = F.col(by).cast("double")
     values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     cuts = [i / buckets for i in range(1, buckets)]
-    limits = values.agg(F.percentile_approx(x, cuts, 1000).alias("_q")).select("_q").scalar()
+    limits = values.agg(F.percentile_approx(x, cuts, 20 * buckets).alias("_q")).select("_q").scalar()
     below = F.aggregate(F.col("_limits"), F.lit(0), lambda acc, q: acc + (q < x).cast("int"))
     values = values.withColumn("_limits", limits).withColumn("_b", below).drop("_limits")
     sizes = values.groupBy("_b").agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"))

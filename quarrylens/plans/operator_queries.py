@@ -395,9 +395,13 @@ def headed(t: Tables) -> DataFrame:
     )
 
 
+def _documents(t: Tables) -> DataFrame:
+    return retrieval.spread(t["documents"].select("doc_id", "text"))
+
+
 @demo("s2_keyword_topk")
 def keyword(t: Tables) -> DataFrame:
-    return retrieval.keyword_topk(retrieval.chunk(t["documents"]), keyword_queries(t), 5, ["doc_id", "chunk_no"])
+    return retrieval.keyword_topk(retrieval.chunk(_documents(t)), keyword_queries(t), 5, ["doc_id", "chunk_no"])
 
 
 @demo("s3_nearest_in_group")
@@ -414,7 +418,7 @@ def vectors(t: Tables) -> DataFrame:
 @demo("s3_hybrid_topk")
 def hybrid(t: Tables) -> DataFrame:
     """Benchmark item n beside label n: keyword hits on documents fused with vector hits of the same number."""
-    words = retrieval.keyword_topk(t["documents"].select("doc_id", "text"), keyword_queries(t), 20, ["doc_id"])
+    words = retrieval.keyword_topk(_documents(t), keyword_queries(t), 20, ["doc_id"])
     centres = retrieval.centres_of(t["embeddings"], "label").select(F.col("label").cast("bigint").alias("query_id"), "centre")
     near = retrieval.vector_topk(t["embeddings"], centres, 20).withColumnRenamed("vec_id", "doc_id")
     return retrieval.fuse_ranks(words, near, 10, ["doc_id"]).drop("score")

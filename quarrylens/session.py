@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,10 +33,13 @@ def build_session(app: str = "quarrylens", master: str | None = None, **conf: st
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh sub-folder of the shared folder named by ``spark.checkpoint.dir``.
 
-    Intermediate tables and streaming checkpoints live here, so another executor
-    can read them after one is lost.  There is no machine-local fallback.
+    Intermediate tables and streaming checkpoints live here, so another executor can read
+    them after one is lost.  Only a single-machine session may go without the setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        root = tempfile.mkdtemp(prefix="quarrylens-")
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -11,10 +11,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import dec, rnd
 from quarrylens.functions.predicates import label
+from quarrylens.operators.joins import broadcast_if_small
 from quarrylens.operators.latest import dedup_latest
 from quarrylens.sources.tables import Tables
 
@@ -71,6 +73,11 @@ def sites(t: Tables) -> DataFrame:
     )
 
 
+def site_lookup(t: Tables) -> DataFrame:
+    """Sites for joins: sent to the tasks while they are few, shuffled otherwise."""
+    return broadcast_if_small(t["sites"])
+
+
 def site_events(t: Tables) -> DataFrame:
     ev = t["events"].select(
         "event_id",
@@ -80,17 +87,17 @@ def site_events(t: Tables) -> DataFrame:
         "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
-    return ev.join(t["sites"], F.col("user_id") % 25 == F.col("n_nationkey")).drop("n_nationkey")
+    return ev.join(t["site_lookup"], F.col("user_id") % 25 == F.col("n_nationkey")).drop("n_nationkey")
 
 
 def supplier_sites(t: Tables) -> DataFrame:
-    return t["supplier"].join(t["sites"], F.col("s_nationkey") == F.col("n_nationkey")).select(
+    return t["supplier"].join(t["site_lookup"], F.col("s_nationkey") == F.col("n_nationkey")).select(
         "s_suppkey", "s_name", "s_nationkey", "site_name", "division"
     )
 
 
 def customer_sites(t: Tables) -> DataFrame:
-    return t["customer"].join(t["sites"], F.col("c_nationkey") == F.col("n_nationkey")).select(
+    return t["customer"].join(t["site_lookup"], F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", "c_name", "c_mktsegment", "site_name", "division"
     )
 
@@ -574,6 +581,7 @@ def supplier_lines(t: Tables) -> DataFrame:
 
 VIEWS = {
     "sites": sites,
+    "site_lookup": site_lookup,
     "site_events": site_events,
     "supplier_sites": supplier_sites,
     "customer_sites": customer_sites,
@@ -600,9 +608,20 @@ VIEWS = {
 }
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Parquet scan; a path's schema is read from its footers once per application."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
 def derived_tables(spark: SparkSession, folder: str) -> Tables:
     """Registry over the parquet files in ``folder`` with every derived view on top."""
-    base = {name: (lambda t, p=f"{folder}/{name}.parquet": t.spark.read.parquet(p)) for name in BASE_TABLES}
     from quarrylens.plans import products
 
+    base = {name: (lambda t, p=f"{folder}/{name}.parquet": read_table(t.spark, p)) for name in BASE_TABLES}
     return Tables(spark, {**base, **VIEWS, **products.PRODUCTS})
