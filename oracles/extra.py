@@ -111,6 +111,11 @@ EXTRA: dict[str, str] = {
         root_cause IN ('equipment_failure', 'inadequate_training') AS is_systemic, COUNT(*) AS incidents FROM incidents GROUP BY 1, 2, 3, 4, 5""",
     "r_fmt_money": f"SELECT division, {MONEY} AS budget FROM (SELECT division, TOT(budget_aud, 4) AS b FROM financials GROUP BY 1)",
     # --- streams: the batch answer
+    "j1_stream_ingest": """SELECT CAST(year(invoice_date) AS VARCHAR) AS batch_id, payment_status, COUNT(*) AS invoices, TOT(total_aud, 3) AS total_aud
+        FROM silver_invoices GROUP BY 1, 2""",
+    "j3_stream_upsert_latest": """SELECT site, payment_status, invoice_id, CAST(invoice_date AS VARCHAR) AS invoice_date, total_aud
+        FROM (SELECT *, row_number() OVER (PARTITION BY site, payment_status ORDER BY invoice_date DESC, CAST(invoice_id AS BIGINT) DESC) AS rn
+              FROM silver_invoices) WHERE rn = 1""",
     "j2_stream_dedup": "SELECT ping_id, vehicle_id, ping_timestamp FROM bronze_gps_pings",
     "j4_stream_fleet_daily": "SELECT * FROM gold_fleet_utilisation_daily",
     "j5_stream_alerts": """SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, equipment_id, COUNT(*) AS readings,

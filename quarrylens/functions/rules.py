@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarrylens.functions import aggs
 from quarrylens.functions.numeric import Colish, as_col, ratio
 from quarrylens.functions.predicates import any_of, label
 from quarrylens.functions.vocab import IN_SERVICE, OPEN_STATUSES, SIGNIFICANT, SUPPLY_RISK
@@ -179,6 +180,11 @@ def in_service(status: Colish) -> Column:
     return as_col(status).isin(*IN_SERVICE)
 
 
+def utilisation(status: Colish) -> Column:
+    """Aggregate: percent of rows in service; units in maintenance count as not deployed."""
+    return aggs.rate_pct(in_service(status))
+
+
 def days_overdue(due: Colish, as_of: date) -> Column:
     return F.datediff(F.lit(as_of), as_col(due))
 

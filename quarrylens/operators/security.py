@@ -121,9 +121,9 @@ def verify_visibility(tables: Mapping[str, DataFrame], memberships: DataFrame, m
             for name, df in tables.items()
         ],
     )
-    groups = memberships.distinct()
-    own = groups.join(mapping, "group_name").select("principal", "division")
-    all_divisions = mapping.select(F.lit(exec_group).alias("group_name"), "division").distinct()
-    every = groups.join(all_divisions, "group_name").select("principal", "division")
-    visible = own.unionByName(every).distinct()
+    # Executives get one grant per division in the same table, so one equi-join serves everyone.
+    grants = mapping.select("group_name", "division").unionByName(
+        mapping.select(F.lit(exec_group).alias("group_name"), "division")
+    )
+    visible = memberships.join(grants.distinct(), "group_name").select("principal", "division").distinct()
     return visible.join(counts, "division").select("principal", "table_name", "division", "row_count")

@@ -18,7 +18,7 @@ from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import dec, pct, ratio, rnd
 from quarrylens.functions.predicates import month_start, since_months
 from quarrylens.operators.joins import fan_out, join_left_agg, reconcile, sites_with_both
-from quarrylens.operators.latest import latest_snapshot, latest_with_ties
+from quarrylens.operators.latest import dedup_latest, latest_snapshot, latest_with_ties
 from quarrylens.operators.windows import month_over_month, ranked
 from quarrylens.plans import rollups
 from quarrylens.plans.catalogue.base import query
@@ -317,7 +317,7 @@ def manufacturing_and_fleet(t: Tables) -> DataFrame:
 def site_rates(t: Tables) -> DataFrame:
     fleet = t["telemetry"].groupBy("site_name").agg(
         aggs.distinct("equipment_id").alias("units"),
-        aggs.rate_pct(F.col("status").isin("operational", "warning", "critical")).alias("in_service_pct"),
+        rules.utilisation("status").alias("in_service_pct"),
     )
     hurt = _incidents_by(t, "site_name").select("site_name", F.col("_rows_b").alias("incidents"))
     return join_left_agg(fleet, [hurt], ["site_name"]).select(
@@ -351,12 +351,9 @@ def composite_risk(t: Tables) -> DataFrame:
 def behind_and_rising(t: Tables) -> DataFrame:
     yearly = t["financials"].select("project_id", "project_name", "reporting_period", "spi", "actual_cost_aud")
     moved = month_over_month(yearly, ["project_id"], "reporting_period", "actual_cost_aud")
-    newest = moved.groupBy("project_id", "project_name").agg(
-        F.max("reporting_period").alias("reporting_period"),
-        F.max_by("spi", "reporting_period").alias("spi"),
-        F.max_by("trend", "reporting_period").alias("trend"),
-        F.max_by("actual_cost_aud", "reporting_period").alias("actual_cost_aud"),
-        F.max_by("previous", "reporting_period").alias("previous_cost_aud"),
+    # Same partitioning and order as the change itself: no further exchange.
+    newest = dedup_latest(moved, ["project_id"], ["reporting_period"]).select(
+        "project_id", "project_name", "reporting_period", "spi", "trend", "actual_cost_aud", F.col("previous").alias("previous_cost_aud")
     )
     return newest.filter((F.col("spi") < 1.0) & (F.col("trend") == "rising")).drop("trend")
 

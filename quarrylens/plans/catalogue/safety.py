@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import pct, rnd
+from quarrylens.functions.numeric import dec, pct, ratio, rnd
 from quarrylens.functions.predicates import (
     after_hour,
     domain_rank,
@@ -233,19 +233,32 @@ def site_incidents(t: Tables, site: str = "NATION_7") -> DataFrame:
 
 @query("q_sf_13", "Sites needing dust suppression")
 def dust_suppression(t: Tables, monitors: Sequence[str] = ("dust_pm10", "dust_pm2_5"), newest_action: bool = False) -> DataFrame:
-    """``newest_action`` takes the action of the newest reading instead of MAX(text)."""
-    action = F.max("action_taken")
-    if newest_action:
-        action = aggs.latest("action_taken", "reading_date", "reading_time", "reading_id")
-    return (
+    """``newest_action`` takes the action of the newest reading instead of MAX(text).
+
+    Readings are hashed down to (site, action) first; only those few rows meet the text maximum.
+    """
+    newest = [F.max(F.struct("reading_date", "reading_time", "reading_id")).alias("_at")] if newest_action else []
+    per_action = (
         t["emissions"]
         .filter(F.col("monitor_type").isin(*monitors))
-        .groupBy("site_name")
+        .groupBy("site_name", "action_taken")
         .agg(
-            aggs.n_rows().alias("dust_readings"),
-            _n(F.col("is_exceedance"), "exceedances"),
-            rnd(F.max("measurement_value"), 1).alias("max_dust"),
-            aggs.avg_rounded("threshold_value", 1).alias("threshold"),
+            aggs.n_rows().alias("_n"),
+            _n(F.col("is_exceedance"), "_over"),
+            F.max("measurement_value").alias("_max"),
+            F.sum(dec("threshold_value")).alias("_limit"),
+            F.count("threshold_value").alias("_n_limit"),
+            *newest,
+        )
+    )
+    action = F.max_by("action_taken", "_at") if newest_action else F.max("action_taken")
+    return (
+        per_action.groupBy("site_name")
+        .agg(
+            F.sum("_n").alias("dust_readings"),
+            F.sum("_over").alias("exceedances"),
+            rnd(F.max("_max"), 1).alias("max_dust"),
+            rnd(ratio(F.sum("_limit"), F.sum("_n_limit")), 1).alias("threshold"),
             action.alias("latest_action"),
         )
         .filter(F.col("exceedances") > 0)

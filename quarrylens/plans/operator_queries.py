@@ -301,6 +301,38 @@ def stream(key: str):
     return register
 
 
+def _landing(spark: SparkSession, folder: str, label: str) -> tuple[Tables, str]:
+    """Invoices written as landing files, one folder per batch."""
+    t = derived_tables(spark, folder)
+    root = work_dir(spark, label)
+    names = [f.name for f in SUPPLIER_INVOICES if f.name != "batch_id"]
+    feed = t["bronze_supplier_invoices"].select(*names, "batch_id", F.col("batch_id").alias("batch"))
+    feed.write.partitionBy("batch").option("header", True).csv(f"{root}/landing")
+    return t, root
+
+
+@stream("j1_stream_ingest")
+def j1(spark: SparkSession, folder: str) -> DataFrame:
+    """Landing files taken up by two runs of the same stream: each file counts once."""
+    _, root = _landing(spark, folder, "ingest")
+    source = jobs.read_stream(spark, f"{root}/landing/*/*.csv", "csv", SUPPLIER_INVOICES)
+    for _ in range(2):
+        jobs.run_to_end(jobs.write_log(source, f"{root}/log", f"{root}/checkpoint"))
+    return jobs.read_log(spark, f"{root}/log").groupBy("batch_id", "payment_status").agg(
+        aggs.n_rows().alias("invoices"), aggs.total("total_aud", 3).alias("total_aud")
+    )
+
+
+@stream("j3_stream_upsert_latest")
+def j3(spark: SparkSession, folder: str) -> DataFrame:
+    """Newest invoice per purchase-order site and status, kept across micro-batches of a few files."""
+    _, root = _landing(spark, folder, "upsert")
+    source = jobs.read_stream(spark, f"{root}/landing/*/*.csv", "csv", SUPPLIER_INVOICES, files_per_trigger=4)
+    keys, order = ["site", "payment_status"], ["invoice_date", F.col("invoice_id").cast("bigint")]
+    jobs.run_to_end(jobs.stream_upsert_latest(source, f"{root}/log", keys, order, f"{root}/checkpoint"))
+    return jobs.read_latest(spark, f"{root}/log", keys, order).select(*keys, "invoice_id", "invoice_date", "total_aud")
+
+
 @stream("j2_stream_dedup")
 def j2(spark: SparkSession, folder: str) -> DataFrame:
     """The event stream joined with itself once more (every ping twice), deduplicated within the watermark."""

@@ -95,15 +95,18 @@ def define_view(spark: SparkSession, name: str, sql: str, comment: str = "") ->
 
 
 def materialise(df: DataFrame, name: str, mode: str = "table", **options) -> None:
-    """Named data product: stored (``table``) or computed on read (``view``, session-wide).
+    """Named data product: stored (``table``), computed on read (``view``) or ``both``.
 
     Open-source Spark has no materialized views, so a stored product is refreshed by
-    calling this again, or incrementally by ``quarrylens.streaming.jobs``.
+    calling this again, or incrementally by ``quarrylens.streaming.jobs``.  The live form is
+    a session view ``v_<db>_<name>`` and is always up to date.
     """
-    if mode == "table":
+    if mode not in ("table", "view", "both"):
+        raise ValueError(f"unknown mode {mode}")
+    if mode != "table":
+        df.createOrReplaceTempView("v_" + name.replace(".", "_"))
+    if mode != "view":
         replace(df, name, **options)
-    else:
-        df.createOrReplaceTempView(name.replace(".", "_"))
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv", files: int | None = None) -> None:

@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from quarrylens.operators import security
 from quarrylens.plans import pipeline
 from quarrylens.sources import landing, schemas, sinks
 from quarrylens.sources.tables import Tables
@@ -103,9 +104,14 @@ def test_tables_and_views(spark):
     assert sinks.mirror_copy(spark, "t_sinks.t", "t_sinks.t_copy") == 3
     sinks.define_view(spark, "t_sinks.v", "SELECT a FROM t_sinks.t WHERE a > 0", "positive")
     assert spark.table("t_sinks.v").count() == 2
-    sinks.materialise(spark.table("t_sinks.v"), "t_sinks.mv")
+    sinks.materialise(spark.table("t_sinks.v"), "t_sinks.mv", mode="both")
     sinks.materialise(spark.table("t_sinks.v"), "t_sinks.live", mode="view")
-    assert spark.table("t_sinks.mv").count() == spark.table("t_sinks_live").count() == 2
+    assert spark.table("t_sinks.mv").count() == spark.table("v_t_sinks_mv").count() == spark.table("v_t_sinks_live").count() == 2
+    sinks.overwrite_rows(spark.range(9).select(F.lit("z").alias("b"), F.col("id").alias("a")), "t_sinks.t")
+    assert spark.table("t_sinks.mv").count() == 2 and spark.table("v_t_sinks_mv").count() == 8
+    sinks.overwrite_rows(spark.range(3).select(F.lit("y").alias("b"), F.col("id").alias("a")), "t_sinks.t")
+    security.mirror_view("unfiltered", spark.table("t_sinks.t"))
+    assert spark.table("unfiltered").count() == 3
     assert {r["table_name"]: r["row_count"] for r in sinks.audit_counts({"t": spark.table("t_sinks.t"), "v": spark.table("t_sinks.v")}).collect()} == {"t": 3, "v": 2}
     sinks.drop_if_exists(spark, "t_sinks.v", "VIEW")
     assert "v" not in sinks.table_names(spark, "t_sinks")
