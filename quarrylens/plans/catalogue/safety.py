@@ -14,7 +14,6 @@ from quarrylens.functions.predicates import (
     after_hour,
     domain_rank,
     flag,
-    month_start,
     previous_month,
     quarter_of,
     same_year,
@@ -22,6 +21,7 @@ from quarrylens.functions.predicates import (
     within_days,
 )
 from quarrylens.functions.vocab import OPEN_STATUSES, SEVERITIES, SIGNIFICANT
+from quarrylens.operators.aggregate import by, by_period, order_by_domain
 from quarrylens.operators.joins import join_left_agg
 from quarrylens.operators.latest import latest_snapshot
 from quarrylens.operators.windows import arg_max, month_over_month, share_of_group, top_k
@@ -58,16 +58,12 @@ def open_incidents(t: Tables, status: str = "open") -> DataFrame:
 
 @query("q_sf_02", "Incidents, injuries and lost days by division and severity")
 def by_division_severity(t: Tables) -> DataFrame:
-    return (
-        t["incidents"]
-        .groupBy("division", "severity")
-        .agg(
-            aggs.n_rows().alias("incidents"),
-            aggs.total_int("injuries").alias("total_injuries"),
-            _lost().alias("total_lti_days"),
-        )
-        .orderBy("division", domain_rank("severity", SEVERITIES))
-    )
+    measures = [
+        aggs.n_rows().alias("incidents"),
+        aggs.total_int("injuries").alias("total_injuries"),
+        _lost().alias("total_lti_days"),
+    ]
+    return by(t["incidents"], ["division", "severity"], *measures).orderBy("division", domain_rank("severity", SEVERITIES))
 
 
 @query("q_sf_03", "Root causes")
@@ -94,12 +90,8 @@ def top_sites(t: Tables, k: int = 15) -> DataFrame:
 
 @query("q_sf_05", "Monthly incident trend")
 def monthly_trend(t: Tables) -> DataFrame:
-    return (
-        t["incidents"]
-        .groupBy(month_start("incident_date").alias("month"))
-        .agg(aggs.n_rows().alias("incidents"), aggs.total_int("injuries").alias("injuries"))
-        .orderBy("month")
-    )
+    measures = [aggs.n_rows().alias("incidents"), aggs.total_int("injuries").alias("injuries")]
+    return by_period(t["incidents"], "incident_date", "month", *measures).orderBy("month")
 
 
 @query("q_sf_06", "Critical incidents in full")
@@ -127,17 +119,13 @@ def safety_record(t: Tables) -> DataFrame:
 
 @query("q_sf_08", "Month by severity")
 def month_by_severity(t: Tables) -> DataFrame:
-    return (
-        t["incidents"]
-        .groupBy(month_start("incident_date").alias("month"))
-        .agg(
-            aggs.n_rows().alias("total"),
-            *aggs.status_counts("severity", SEVERITIES),
-            _n(F.col("is_near_miss"), "near_misses"),
-            _lost(1).alias("total_lti_days"),
-        )
-        .orderBy("month")
-    )
+    measures = [
+        aggs.n_rows().alias("total"),
+        *aggs.status_counts("severity", SEVERITIES),
+        _n(F.col("is_near_miss"), "near_misses"),
+        _lost(1).alias("total_lti_days"),
+    ]
+    return by_period(t["incidents"], "incident_date", "month", *measures).orderBy("month")
 
 
 @query("q_sf_09", "Root causes of significant incidents")
@@ -378,12 +366,9 @@ def lti_causes(t: Tables) -> DataFrame:
 
 @query("q_sf_20", "Open significant incidents")
 def open_significant(t: Tables) -> DataFrame:
-    return (
-        t["incidents"]
-        .filter(_sev().isin(*SIGNIFICANT) & rules.is_open("status"))
-        .select(*BRIEF, "description", "root_cause", "corrective_action", "status")
-        .orderBy(domain_rank("severity", SEVERITIES), F.desc("incident_date"), "incident_id")
-    )
+    rows = t["incidents"].filter(_sev().isin(*SIGNIFICANT) & rules.is_open("status"))
+    shown = rows.select(*BRIEF, "description", "root_cause", "corrective_action", "status")
+    return order_by_domain(shown, "severity", SEVERITIES, F.desc("incident_date"), "incident_id")
 
 
 @query("q_sf_21", "Severity share within division this year")
@@ -512,9 +497,7 @@ def first_pass_rate(t: Tables) -> DataFrame:
 
 @query("q_sf_27", "Sites with rising incident frequency")
 def rising_sites(t: Tables) -> DataFrame:
-    monthly = t["incidents"].groupBy("site_name", month_start("incident_date").alias("month")).agg(
-        aggs.n_rows().alias("incidents")
-    )
+    monthly = by_period(t["incidents"], "incident_date", "month", aggs.n_rows().alias("incidents"), keys=["site_name"])
     moved = month_over_month(monthly, ["site_name"], "month", "incidents")
     return moved.filter(F.col("trend") == "rising").select("site_name", "month", "incidents", "previous", "change")
 

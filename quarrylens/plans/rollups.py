@@ -233,19 +233,28 @@ def equipment_status(tel: DataFrame, log: DataFrame) -> DataFrame:
 def procurement_analytics(mat: DataFrame) -> DataFrame:
     """Supplier x category: spend share, lead-time spread, price volatility, supply risk.
 
-    Lead times are whole days, so the exact median keeps a small map of counts per group.
-    Volatility is the population deviation over the mean, from exact sums.
+    Rows are first hashed down to (supplier, category, lead time), so the exact median works
+    on counted days and a hot supplier is combined early.  Volatility is the population
+    deviation over the mean, from exact sums.
     """
     price = F.col("unit_price_aud").cast("decimal(12,2)")
-    per = mat.groupBy("supplier", "category").agg(
-        aggs.n_rows().alias("materials"),
-        F.sum(dec("total_cost_aud")).alias("_spend"),
+    per_lead = mat.groupBy("supplier", "category", "lead_time_days").agg(
+        aggs.n_rows().alias("_n"),
+        F.sum(dec("total_cost_aud")).alias("_cost"),
+        F.count("unit_price_aud").alias("_n_price"),
+        F.sum(dec("unit_price_aud")).alias("_price"),
+        F.sum(price * price).alias("_price2"),
+        aggs.count_where(F.col("availability").isin(*SUPPLY_RISK)).alias("_risky"),
+    )
+    per = per_lead.groupBy("supplier", "category").agg(
+        F.sum("_n").alias("materials"),
+        F.sum("_cost").alias("_spend"),
         F.min("lead_time_days").alias("min_lead_days"),
-        F.percentile("lead_time_days", 0.5).alias("median_lead_days"),
+        F.percentile("lead_time_days", 0.5, F.col("_n")).alias("median_lead_days"),
         F.max("lead_time_days").alias("max_lead_days"),
-        aggs.mean("unit_price_aud").alias("_mean"),
-        ratio(F.sum(price * price), F.count(price)).alias("_square"),
-        aggs.count_where(F.col("availability").isin(*SUPPLY_RISK)).alias("supply_risk_items"),
+        ratio(F.sum("_price"), F.sum("_n_price")).alias("_mean"),
+        ratio(F.sum("_price2"), F.sum("_n_price")).alias("_square"),
+        F.sum("_risky").alias("supply_risk_items"),
     )
     spread = F.sqrt(F.greatest(F.col("_square") - F.col("_mean") * F.col("_mean"), F.lit(0.0)))
     return share_of_group(per, ["category"], "_spend", "_share").select(

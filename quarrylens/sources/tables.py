@@ -43,6 +43,14 @@ class Tables(Mapping):
     def with_tables(self, **more: Provider) -> "Tables":
         return Tables(self.spark, {**self._providers, **more})
 
+    def sql(self, text: str, **args) -> DataFrame:
+        """Run SQL naming tables as ``{name}`` and parameters as ``:name``.
+
+        Values are bound, never pasted into the text.
+        """
+        used = {name: self[name] for name in self if "{" + name + "}" in text}
+        return self.spark.sql(text, args=args or None, **used)
+
     def register_views(self, prefix: str = "") -> None:
         """Expose every table to Spark SQL as a temporary view."""
         for name in self:

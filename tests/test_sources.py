@@ -131,6 +131,8 @@ def test_registry_is_lazy(spark):
 
     t = Tables(spark, {"a": lambda t: t.spark.range(3), "b": lambda t: t["a"].filter("id > 0"), "c": fail})
     assert t["b"].count() == 2 and t["a"] is t["a"] and set(t) == {"a", "b", "c"}
+    got = t.sql("SELECT count(*) AS n FROM {a} JOIN {b} USING (id) WHERE id <> :skip", skip=1)
+    assert got.first()["n"] == 1
     t = Tables(spark, {"a": spark.range(2)})
     t.register_views("reg_")
     assert spark.sql("SELECT * FROM reg_a WHERE id >= :low", args={"low": 1}).count() == 1
