@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from quarrylens.plans import gold, silver
 from quarrylens.sources import sinks
-from quarrylens.sources.landing import conform, read_feed, resolve_batch, split_rejects, with_ingest_meta
+from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, resolve_batch, split_rejects, with_ingest_meta
 from quarrylens.sources.schemas import FEEDS
 from quarrylens.sources.tables import Tables
 
@@ -24,9 +25,12 @@ def run_bronze(spark: SparkSession, landing: str, db: str, loaded_at: datetime,
     counts = {}
     for feed, (schema, fmt) in FEEDS.items():
         raw = with_ingest_meta(read_feed(spark, f"{path}/{feed}", fmt, schema, text=True), loaded_at)
-        good, bad = split_rejects(conform(raw, schema, keep=INGEST, report=True))
-        counts[feed] = sinks.append(good, f"{db}.{feed}", partition_by=["batch_id"])
-        counts[f"{feed}_rejects"] = sinks.append(bad, f"{db}.{feed}_rejects")
+        fitted, seen = sinks.counted(conform(raw, schema, keep=INGEST, report=True), bad=F.size(BAD_COLUMNS) > 0)
+        counts[feed] = sinks.append(split_rejects(fitted)[0], f"{db}.{feed}", partition_by=["batch_id"])
+        counts[f"{feed}_rejects"] = seen.get["bad"]
+        if seen.get["bad"]:
+            # Only a batch with bad rows is read once more.
+            sinks.append(split_rejects(conform(raw, schema, keep=INGEST, report=True))[1], f"{db}.{feed}_rejects")
     return counts
 
 

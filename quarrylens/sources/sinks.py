@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,10 +46,14 @@ def ensure_table(
     )
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """The frame plus a row count that is filled in by the write itself: no second scan."""
-    seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+def counted(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """The frame plus row counts that the write itself fills in: no second scan.
+
+    ``counts`` are further conditions to count, by name.
+    """
+    seen = Observation()
+    extra = [F.count_if(cond).alias(name) for name, cond in counts.items()]
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *extra), seen
 
 
 def stamped(df: DataFrame, at: datetime, name: str = "_processed_at") -> DataFrame:
@@ -57,22 +61,34 @@ def stamped(df: DataFrame, at: datetime, name: str = "_processed_at") -> DataFra
     return df.withColumn(name, F.lit(at).cast("timestamp"))
 
 
-def _writer(df: DataFrame, mode: str, fmt: str, partition_by: Sequence[str]):
+Buckets = tuple[int, Sequence[str]]
+
+
+def _save(df: DataFrame, table: str, mode: str, fmt: str, partition_by: Sequence[str], buckets: Buckets | None) -> None:
     writer = df.write.format(fmt).mode(mode)
-    return writer.partitionBy(*partition_by) if partition_by else writer
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    if buckets:
+        n, keys = buckets
+        writer = writer.bucketBy(n, *keys).sortBy(*keys)
+    writer.saveAsTable(table)
 
 
-def append(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
+def append(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = (), buckets: Buckets | None = None) -> int:
     """Append rows; returns how many."""
     rows, seen = counted(df)
-    _writer(rows, "append", fmt, partition_by).saveAsTable(table)
+    _save(rows, table, "append", fmt, partition_by, buckets)
     return seen.get["rows"]
 
 
-def replace(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> int:
-    """Replace rows and schema; returns the row count."""
+def replace(df: DataFrame, table: str, fmt: str = "parquet", partition_by: Sequence[str] = (), buckets: Buckets | None = None) -> int:
+    """Replace rows and schema; returns the row count.
+
+    Tables that are joined again and again on one key (orders and lines, units and work
+    orders) can be stored in ``buckets=(n, keys)``: equal bucketing joins without a shuffle.
+    """
     rows, seen = counted(df)
-    _writer(rows, "overwrite", fmt, partition_by).saveAsTable(table)
+    _save(rows, table, "overwrite", fmt, partition_by, buckets)
     return seen.get["rows"]
 
 
