@@ -125,11 +125,13 @@ EXTRA: dict[str, str] = {
               FROM telemetry, range(0, 4) r(i))
         GROUP BY window_start, equipment_id
         HAVING CNT(engine_temp_celsius > 105) > 0 OR CNT(fuel_level_pct < 10 AND status IN ('operational', 'warning', 'critical')) > 0""",
-    "j6_stream_idle_sessions": """SELECT vehicle_id, MIN(ping_timestamp) AS idle_from, MAX(ping_timestamp) + INTERVAL 6 HOUR AS idle_to, COUNT(*) AS idle_pings
+    "j6_stream_idle_sessions": """WITH idle AS (SELECT * FROM silver_fleet_positions WHERE is_idling)
+        SELECT vehicle_id, MIN(ping_timestamp) AS idle_from, MAX(ping_timestamp) + INTERVAL 6 HOUR AS idle_to, COUNT(*) AS idle_pings
         FROM (SELECT *, SUM(new) OVER (PARTITION BY vehicle_id ORDER BY ping_timestamp) AS s
               FROM (SELECT *, CASE WHEN ping_timestamp < lag(ping_timestamp) OVER (PARTITION BY vehicle_id ORDER BY ping_timestamp) + INTERVAL 6 HOUR
-                              THEN 0 ELSE 1 END AS new FROM silver_fleet_positions WHERE is_idling))
-        GROUP BY vehicle_id, s""",
+                              THEN 0 ELSE 1 END AS new FROM idle))
+        GROUP BY vehicle_id, s
+        HAVING MAX(ping_timestamp) + INTERVAL 6 HOUR <= (SELECT date_trunc('millisecond', MAX(ping_timestamp)) FROM idle) - INTERVAL 1 DAY""",
     "j7_stream_latest": "SELECT equipment_id, site_name, status, engine_temp_celsius, reading_timestamp FROM tel_now",
     "j8_stream_refresh_mv": "SELECT * FROM gold_delivery_performance",
     "j9_stream_enrich": "SELECT CAST(ts AS DATE) AS day, division, COUNT(*) AS readings FROM ev GROUP BY 1, 2",

@@ -256,7 +256,7 @@ def money(t: Tables) -> DataFrame:
 EVENT_SCHEMA = schema(
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 )
-DELAY = "400 days"
+DELAY = "1 day"
 
 
 def stream_tables(spark: SparkSession, folder: str) -> Tables:
@@ -359,12 +359,9 @@ def j5(spark: SparkSession, folder: str) -> DataFrame:
 
 @stream("j6_stream_idle_sessions")
 def j6(spark: SparkSession, folder: str) -> DataFrame:
-    t = stream_tables(spark, folder)
-    sessions = jobs.stream_idle_sessions(_positions(t), DELAY, "6 hours")
-    path = _log(spark, sessions, "idle", "complete")
-    log = jobs.read_log(spark, path)
-    newest = log.agg(F.max("_batch").alias("b")).select("b").scalar()
-    return _naive(log.filter(F.col("_batch") == newest).drop("_batch"), "idle_from", "idle_to")
+    """Closed idle sessions: those the watermark has passed; the open ones stay in the state."""
+    sessions = jobs.stream_idle_sessions(_positions(stream_tables(spark, folder)), DELAY, "6 hours")
+    return _naive(jobs.read_log(spark, _log(spark, sessions, "idle", "append")).drop("_batch"), "idle_from", "idle_to")
 
 
 @stream("j7_stream_latest")
