@@ -23,11 +23,11 @@ k7_verify_visibility j4_stream_fleet_daily s2_keyword_topk s3_vector_topk s5_exe
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    conf = {"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "16g"}
-    if "SPARK_CHECKPOINT_DIR" in os.environ:
-        conf["spark.checkpoint.dir"] = os.environ["SPARK_CHECKPOINT_DIR"]
-    else:
-        conf["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-")
+    conf = {
+        "spark.sql.shuffle.partitions": cpus,
+        "spark.driver.memory": "16g",
+        "spark.checkpoint.dir": tempfile.mkdtemp(prefix="bench-"),
+    }
     spark = build_session("bench", f"local[{cpus}]", **conf)
     spark.sparkContext.setLogLevel("ERROR")
     runs = registered()
