@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import decontaminate, lines, packing, quality, simhash
+from quarrylens.llm import decontaminate, embeddings, lines, packing, quality, simhash, url_filter, warc
 from quarrylens.llm.common import table
+from quarrylens.session import work_dir
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -18,10 +19,27 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+RULES = [
+    url_filter.Rule("allow", "com/"),
+    url_filter.Rule("block", "example.com/en/"),
+    url_filter.Rule("allow", "www.example.com/en/"),
+    url_filter.Rule("block", "net/es/"),
+    url_filter.Rule("block", "net/fr/"),
+]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "n_lines", "n_dropped")
@@ -31,12 +49,36 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    archives = work_dir(spark, "archives")
+    warc.write_archives(pages, archives)
+    found = warc.read_archives(spark, archives, payloads=False)
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        warc.page_of("record_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        warc.page_of("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_quality, op6_line_dedup, op7_packing, op9_simhash)
+    f.__name__: f for f in (
+        op1_decontaminate,
+        op2_embeddings,
+        op3_quality,
+        op4_url_filter,
+        op6_line_dedup,
+        op7_packing,
+        op8_warc,
+        op9_simhash,
+    )
 }
 ORACLES: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_line_dedup": lines.ORACLE}
