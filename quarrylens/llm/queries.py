@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import decontaminate, embeddings, lines, packing, quality, simhash, url_filter, warc
+from quarrylens.llm import decontaminate, embeddings, lines, packing, quality, simhash, suffixes, url_filter, warc
 from quarrylens.llm.common import table
 from quarrylens.session import work_dir
 
@@ -69,6 +69,11 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_packing,
         op8_warc,
         op9_simhash,
+        op10_suffixes,
     )
 }
 ORACLES: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_line_dedup": lines.ORACLE}
