@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import decontaminate, embeddings, lines, packing, quality, simhash, suffixes, url_filter, warc
+from quarrylens.llm import decontaminate, embeddings, lines, lm, packing, quality, simhash, suffixes, url_filter, warc
 from quarrylens.llm.common import table
 from quarrylens.session import work_dir
 
@@ -40,6 +40,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"), RULES)
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = lines.drop_boilerplate(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "text", "n_lines", "n_dropped")
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_embeddings,
         op3_quality,
         op4_url_filter,
+        op5_lm_scores,
         op6_line_dedup,
         op7_packing,
         op8_warc,

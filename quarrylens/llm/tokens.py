@@ -25,14 +25,16 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
         split = [(text or b"").split() for text in texts]
-        self._learn({w for words in split for w in words if w not in self.known})
+        self.learn(split)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def learn(self, texts: list[list[bytes]]) -> None:
+        """Make sure that ``known`` holds every word of the texts."""
+        if len(self.known) > WORDS_KEPT:
+            self.known.clear()
+        words = {w for text in texts for w in text if w not in self.known}
         parts = {w: self._parts(w) for w in words}
         new = {p for ps in parts.values() for p in ps if p not in self.known}
         plain = [p for p in new if self._plain(p)]
