@@ -44,6 +44,19 @@ def _minima(with_words: DataFrame, window: int, gram: int) -> DataFrame:
     ).drop("hashes", "grams")
 
 
+def _short_spans(width: int) -> Column:
+    """Every run of ``width`` words as a run of one window, with the print of a short item."""
+    return F.transform(
+        _starts(F.size("words"), width),
+        lambda i: F.struct(
+            i.alias("first"),
+            (i + 1).alias("behind"),
+            F.lit(width).alias("width"),
+            F.xxhash64(F.lit(width), F.array_join(F.slice("words", i + 1, width), " ")).alias("print"),
+        ),
+    )
+
+
 def _windows(width: Column | int, starts: Column) -> Column:
     """(start, width, words joined by a space) for the given starts."""
     return F.transform(
@@ -108,21 +121,9 @@ def contamination(
             i.alias("first"), F.get("edges", k + 1).alias("behind"), F.lit(window).alias("width"), F.get("minima", i).alias("print")
         ),
     )
-    parts = [runs]
-    for width in short:
-        parts.append(
-            F.transform(
-                _starts(F.size("words"), width),
-                lambda i, w=width: F.struct(
-                    i.alias("first"),
-                    (i + 1).alias("behind"),
-                    F.lit(w).alias("width"),
-                    F.xxhash64(F.lit(w), F.array_join(F.slice("words", i + 1, w), " ")).alias("print"),
-                ),
-            )
-        )
-    spans = mined.withColumn("edges", edges).select("doc_id", F.inline(F.concat(*parts)))
-    hits = spans.join(prints, ["print", "width"], "left_semi")
+    spans = F.concat(runs, *[_short_spans(width) for width in short])
+    runs_of = mined.withColumn("edges", edges).select("doc_id", F.inline(spans))
+    hits = runs_of.join(prints, ["print", "width"], "left_semi")
     per_doc = hits.groupBy("doc_id").agg(F.collect_set(F.struct("first", "behind", "width")).alias("spans"))
 
     # Extend: all windows of the hit runs, as words, compared with the items' windows.
@@ -172,7 +173,7 @@ def contamination(
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that share no window with a benchmark item, with their columns."""
     bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("bad_id")), "left_anti")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
 
 
 ORACLE = r"""
