@@ -64,21 +64,23 @@ def drop_boilerplate(
     marks = marks.select(F.col("id").alias("mark_id"), F.col("host").alias("mark_host"), "keys_gone")
 
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
-    joined = docs.select(*names).join(
-        marks, F.col(id_col).eqNullSafe(F.col("mark_id")) & F.col(host_col).eqNullSafe(F.col("mark_host")), "left"
+    pages = docs.select(*names)
+    joined = pages.join(
+        marks, pages[id_col].eqNullSafe(marks["mark_id"]) & pages[host_col].eqNullSafe(marks["mark_host"]), "left"
     )
-    split = F.split(F.col(text_col), "\n")
+    gone, before = marks["keys_gone"], pages[text_col]
+    split = F.split(before, "\n")
     kept = F.filter(
         split,
-        lambda line: ~F.coalesce(F.array_contains("keys_gone", F.md5(F.trim(line).cast("binary"))), F.lit(False)),
+        lambda line: ~F.coalesce(F.array_contains(gone, F.md5(F.trim(line).cast("binary"))), F.lit(False)),
     )
-    touched = F.col("keys_gone").isNotNull()
-    text = F.when(touched, F.array_join(kept, "\n")).otherwise(F.col(text_col))
+    touched = gone.isNotNull()
+    text = F.when(touched, F.array_join(kept, "\n")).otherwise(before)
     n_lines = F.coalesce(F.size(split), F.lit(0))
-    n_lines = F.when(F.col(text_col).isNull(), 0).otherwise(n_lines)
+    n_lines = F.when(before.isNull(), 0).otherwise(n_lines)
     n_kept = F.when(touched, F.size(kept)).otherwise(n_lines)
     return joined.select(
-        *[text.alias(c) if c == text_col else F.col(c) for c in names],
+        *[text.alias(c) if c == text_col else pages[c] for c in names],
         n_lines.cast("bigint").alias("n_lines"),
         (n_lines - n_kept).cast("bigint").alias("n_dropped"),
     )
