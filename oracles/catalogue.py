@@ -15,9 +15,11 @@ compliance_dashboard
 
 SQL: dict[str, str] = {name: f"SELECT * FROM {name}" for name in SAME}
 
-SQL["silver_deliveries"] = "SELECT delivery_id, supplier, material, quantity, total_cost, destination_site, po_number, delivery_date, RND(cost_variance_pct, 6) AS cost_variance_pct, cost_validated, condition, is_damaged FROM silver_deliveries"
-SQL["silver_inventory"] = "SELECT * FROM silver_inventory"
-SQL["silver_invoices"] = "SELECT * FROM silver_invoices"
+SQL["silver_deliveries"] = """SELECT * REPLACE (RND(cost_variance_pct, 6) AS cost_variance_pct), 'unit' AS unit, 'WH-0' AS warehouse_origin,
+    'site store' AS received_by, CAST(year(delivery_date) AS VARCHAR) AS batch_id FROM silver_deliveries"""
+SQL["silver_inventory"] = "SELECT *, 'unit' AS unit FROM silver_inventory"
+SQL["silver_invoices"] = "SELECT *, 'AUD' AS currency, CAST(year(invoice_date) AS VARCHAR) AS batch_id FROM silver_invoices"
+SQL["gold_inventory_health"] = "SELECT *, 'unit' AS unit FROM gold_inventory_health"
 
 # --- projects ---------------------------------------------------------------
 SQL |= {
@@ -405,7 +407,11 @@ SQL |= {
                   CNT({RISK}) AS risk_items FROM materials GROUP BY 1""",
     "q_pr_19": f"""SELECT material_id, material_name, category, supplier, unit_price_aud, unit, lead_time_days, availability, price_trend, last_order_date,
                   last_order_qty, DBL(spend) AS last_order_value_aud FROM materials WHERE {RISK}""",
-    "q_pr_20": """SELECT category, division, material_count, RND(s, 1) AS pct_of_category, supplier_spend_in_category
+    "q_pr_20": """SELECT category, supplier, material_count, RND(s, 1) AS pct_of_category, supplier_spend_in_category
+                  FROM (SELECT *, PCT(material_count, SUM(material_count) OVER (PARTITION BY category)) AS s
+                        FROM (SELECT category, supplier, COUNT(*) AS material_count, DBL(SUM(spend)) AS supplier_spend_in_category FROM materials GROUP BY 1, 2))
+                  WHERE s > 2""",
+    "q_pr_20_division": """SELECT category, division, material_count, RND(s, 1) AS pct_of_category, supplier_spend_in_category
                   FROM (SELECT *, PCT(material_count, SUM(material_count) OVER (PARTITION BY category)) AS s
                         FROM (SELECT category, division, COUNT(*) AS material_count, DBL(SUM(spend)) AS supplier_spend_in_category FROM materials GROUP BY 1, 2))
                   WHERE s > 20""",
@@ -556,7 +562,7 @@ SQL |= {
                             WINDOW w AS (PARTITION BY project_id ORDER BY reporting_period))
                  SELECT project_id, project_name, reporting_period, spi, actual_cost_aud, p AS previous_cost_aud
                  FROM y WHERE nx IS NULL AND spi < 1.0 AND actual_cost_aud > p""",
-    "q_x_18": f"""SELECT 'low_cpi' AS risk, division, DBL(COUNT(*)) AS value FROM fin_now WHERE cpi < 0.95 GROUP BY division
+    "q_x_18": f"""SELECT 'low_cpi' AS risk, division, DBL(COUNT(*)) AS value FROM fin_now WHERE cpi < 0.85 GROUP BY division
                  UNION ALL SELECT 'open_critical', division, DBL(COUNT(*)) FROM incidents WHERE severity = 'Critical' AND {OPEN} GROUP BY division
                  UNION ALL SELECT 'overdue_maintenance', division, DBL(COUNT(*)) FROM tel_now
                     WHERE maintenance_due_date < {DUE} AND status IN ('operational', 'warning', 'critical') GROUP BY division
@@ -566,7 +572,7 @@ SQL |= {
                  FROM monthly_kpis WHERE inspections_passed + inspections_failed > 0""",
     "q_x_20": """SELECT site_name, projects, budget_aud, COALESCE(n, 0) AS incidents, COALESCE(e, 0) AS equipment_alerts
                  FROM (SELECT state AS site_name, COUNT(*) AS projects, TOT(budget_aud, 4) AS budget_aud FROM fin_now
-                       WHERE division = 'ASIA' AND status IN ('red', 'amber') GROUP BY 1)
+                       WHERE division = 'ASIA' AND status = 'red' GROUP BY 1)
                  LEFT JOIN (SELECT site_name, COUNT(*) AS n FROM incidents GROUP BY 1) USING (site_name)
                  LEFT JOIN (SELECT site_name, COUNT(DISTINCT equipment_id) AS e FROM telemetry WHERE status IN ('warning', 'critical') GROUP BY 1) USING (site_name)""",
     "q_x_21": """SELECT project_id, s / CAST(100 AS DOUBLE) AS assumed_spi,

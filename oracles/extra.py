@@ -15,13 +15,13 @@ CHUNKS = """SELECT doc_id, source, lang, CAST(start / 700 AS INT) AS chunk_no, C
 
 
 def words(text: str) -> str:
-    return f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}]+'), lambda w: length(w) > 0)"
+    return f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: length(w) > 0)"
 
 
 def keyword(source: str, key: str, k: int, extra: str = "") -> str:
     """BM25 top-k of the benchmark keywords over ``source``; returns query_id, key, score, rank."""
     return f"""
-      kq AS (SELECT DISTINCT query_id, term FROM (SELECT item_id AS query_id, unnest({words('text')}) AS term FROM benchmark) WHERE length(term) >= 9),
+      kq AS (SELECT DISTINCT query_id, term FROM (SELECT item_id AS query_id, unnest({words('text')}) AS term FROM benchmark)),
       src AS (SELECT {key}, {words('text')} AS w FROM ({source}) {extra}),
       st AS (SELECT COUNT(*) AS n, RATIO(SUM(len(w)), COUNT(*)) AS avg_len FROM src),
       tf AS (SELECT {key}, term, COUNT(*) AS tf, MAX(dl) AS dl FROM (SELECT {key}, len(w) AS dl, unnest(w) AS term FROM src)
@@ -110,6 +110,18 @@ EXTRA: dict[str, str] = {
         severity IN ('Critical', 'Serious') AS is_significant, status IN ('open', 'investigating') AS is_open,
         root_cause IN ('equipment_failure', 'inadequate_training') AS is_systemic, COUNT(*) AS incidents FROM incidents GROUP BY 1, 2, 3, 4, 5""",
     "r_fmt_money": f"SELECT division, {MONEY} AS budget FROM (SELECT division, TOT(budget_aud, 4) AS b FROM financials GROUP BY 1)",
+    # Plain SQL, without the shared macros.
+    "i_round_large": """SELECT l_orderkey, l_linenumber, l_extendedprice * 1e12::DOUBLE AS large,
+        CASE WHEN l_extendedprice * 1e9::DOUBLE * 10000 >= 9007199254740992 THEN -l_extendedprice * 1e9::DOUBLE
+             ELSE round(-l_extendedprice * 1e9::DOUBLE, 4) END AS negative,
+        round(l_extendedprice / 7, 2) AS ordinary FROM lineitem""",
+    "e_fine_decimals": """SELECT l_returnflag, CAST(SUM(CAST(l_tax / 16 AS DECIMAL(28,8))) AS DOUBLE) AS fine_sum,
+        CAST(SUM(CAST(l_tax / 16 AS DECIMAL(28,8))) AS DOUBLE) / COUNT(*) AS fine_mean,
+        CAST(SUM(CAST(l_extendedprice * 1e9::DOUBLE AS DECIMAL(28,8))) AS DOUBLE) / COUNT(*) AS large_mean FROM lineitem GROUP BY 1""",
+    "f3_null_group": """SELECT division, severity, incidents, CAST(incidents AS DOUBLE) * 100.0::DOUBLE / CAST(SUM(incidents) OVER (PARTITION BY division) AS DOUBLE) AS share_pct
+        FROM (SELECT CASE WHEN division <> 'ASIA' THEN division END AS division, severity, COUNT(*) AS incidents FROM incidents GROUP BY 1, 2)""",
+    "f6_null_rank": """SELECT *, rank() OVER (ORDER BY top_fuel DESC NULLS LAST) AS fuel_rank
+        FROM (SELECT equipment_id, CASE WHEN regexp_matches(equipment_id, '[1-9]$') THEN MAX(fuel_level_pct) END AS top_fuel FROM telemetry GROUP BY 1)""",
     # --- streams: the batch answer
     "j1_stream_ingest": """SELECT CAST(year(invoice_date) AS VARCHAR) AS batch_id, payment_status, COUNT(*) AS invoices, TOT(total_aud, 3) AS total_aud
         FROM silver_invoices GROUP BY 1, 2""",

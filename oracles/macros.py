@@ -7,7 +7,12 @@ import re
 
 def _rnd(x: str, n: str = "0") -> str:
     f = f"{10 ** int(n)}.0"
-    return f"(CAST(sign({x}) AS BIGINT) * CAST(floor(abs({x}) * CAST({f} AS DOUBLE) + 0.5) AS BIGINT) / CAST({f} AS DOUBLE))"
+    rounded = f"CAST(sign({x}) AS BIGINT) * CAST(floor(abs({x}) * CAST({f} AS DOUBLE) + 0.5) AS BIGINT) / CAST({f} AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) * CAST({f} AS DOUBLE) >= 9007199254740992 THEN CAST({x} AS DOUBLE) ELSE {rounded} END)"
+
+
+def _exact(x: str, s: str = "8") -> str:
+    return f"CAST({x} AS DECIMAL(28,{max(int(s), 8)}))"
 
 
 MACROS = {
@@ -17,12 +22,12 @@ MACROS = {
     "DEC": lambda x, s="2": f"CAST({x} AS DECIMAL(18,{s}))",
     "RATIO": lambda a, b: f"(CAST({a} AS DOUBLE) / NULLIF(CAST({b} AS DOUBLE), 0))",
     "PCT": lambda a, b: f"(CAST({a} AS DOUBLE) * 100.0::DOUBLE / NULLIF(CAST({b} AS DOUBLE), 0))",
-    "TOT": lambda x, s="2": f"CAST(SUM(CAST({x} AS DECIMAL(18,{s}))) AS DOUBLE)",
+    "TOT": lambda x, s="8": f"CAST(SUM({_exact(x, s)}) AS DOUBLE)",
     "TOTI": lambda x: f"CAST(SUM({x}) AS BIGINT)",
-    "MEAN": lambda x, s="2": f"(CAST(SUM(CAST({x} AS DECIMAL(18,{s}))) AS DOUBLE) / NULLIF(CAST(COUNT({x}) AS DOUBLE), 0))",
+    "MEAN": lambda x, s="8": f"(CAST(SUM({_exact(x, s)}) AS DOUBLE) / NULLIF(CAST(COUNT({x}) AS DOUBLE), 0))",
     "CNT": lambda c: f"COUNT(*) FILTER (WHERE {c})",
 }
-MACROS["AVGR"] = lambda x, n, s="2": _rnd(MACROS["MEAN"](x, s), n)
+MACROS["AVGR"] = lambda x, n, s="8": _rnd(MACROS["MEAN"](x, s), n)
 MACROS["SHARE"] = lambda c: _rnd(MACROS["PCT"](MACROS["CNT"](c), "COUNT(*)"), "1")
 
 _CALL = re.compile(r"\b(" + "|".join(sorted(MACROS, key=len, reverse=True)) + r")\(")

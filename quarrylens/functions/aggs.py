@@ -7,33 +7,33 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quarrylens.functions.numeric import Colish, as_col, dec, pct, ratio, rnd
+from quarrylens.functions.numeric import SCALE, Colish, as_col, exact, pct, ratio, rnd
 
 
 def n_rows() -> Column:
     return F.count(F.lit(1))
 
 
-def total(c: Colish, scale: int = 2) -> Column:
+def total(c: Colish, scale: int = SCALE) -> Column:
     """Order-independent SUM as DOUBLE."""
-    return F.sum(dec(c, scale)).cast("double")
+    return F.sum(exact(c, scale)).cast("double")
 
 
-def total_if(cond: Column, c: Colish, scale: int = 2) -> Column:
+def total_if(cond: Column, c: Colish, scale: int = SCALE) -> Column:
     """SUM of ``c`` over the rows meeting ``cond`` (NULL when none does)."""
-    return F.sum(F.when(cond, dec(c, scale))).cast("double")
+    return F.sum(F.when(cond, exact(c, scale))).cast("double")
 
 
 def total_int(c: Colish) -> Column:
     return F.sum(as_col(c).cast("bigint"))
 
 
-def mean(c: Colish, scale: int = 2) -> Column:
+def mean(c: Colish, scale: int = SCALE) -> Column:
     """Order-independent AVG as DOUBLE; NULLs do not count."""
-    return ratio(F.sum(dec(c, scale)), F.count(as_col(c)))
+    return ratio(F.sum(exact(c, scale)), F.count(as_col(c)))
 
 
-def avg_rounded(c: Colish, places: int, scale: int = 2) -> Column:
+def avg_rounded(c: Colish, places: int, scale: int = SCALE) -> Column:
     return rnd(mean(c, scale), places)
 
 
@@ -46,12 +46,12 @@ def rate_pct(cond: Column, places: int = 1, base: Column | None = None) -> Colum
     return rnd(pct(count_where(cond), n_rows() if base is None else base), places)
 
 
-def weighted_ratio(num: Colish, den: Colish, scale: int = 2) -> Column:
+def weighted_ratio(num: Colish, den: Colish, scale: int = SCALE) -> Column:
     """Ratio of sums, NULL on a zero denominator."""
     return ratio(total(num, scale), total(den, scale))
 
 
-def scaled(c: Colish, unit: float, places: int, scale: int = 2) -> Column:
+def scaled(c: Colish, unit: float, places: int, scale: int = SCALE) -> Column:
     """SUM in units of a million, a billion, ..., rounded."""
     return rnd(total(c, scale) / float(unit), places)
 
@@ -72,7 +72,7 @@ def latest(c: Colish, *order: Colish) -> Column:
     return F.max_by(as_col(c), F.struct(*[as_col(o) for o in order]))
 
 
-def basic(c: Colish, name: str, scale: int = 2) -> list[Column]:
+def basic(c: Colish, name: str, scale: int = SCALE) -> list[Column]:
     """COUNT, SUM, AVG, MIN, MAX of one measure."""
     x = as_col(c)
     return [

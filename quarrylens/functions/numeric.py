@@ -16,17 +16,33 @@ def as_col(c: Colish) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Decimals that sums and means keep; values up to 1e20 fit beside them.
+SCALE = 8
+
+
 def dec(c: Colish, scale: int = 2) -> Column:
-    """DECIMAL(18, scale) form of a measure."""
+    """DECIMAL(18, scale) form of an amount with a known number of decimals, for products."""
     return as_col(c).cast(f"decimal(18,{scale})")
 
 
+def exact(c: Colish, scale: int = SCALE) -> Column:
+    """DECIMAL(28, 8 or more) form of any measure; its SUM has room for ten more digits.
+
+    A value beyond that range ends the query with the cast's own error; it is never cut.
+    """
+    return as_col(c).cast(f"decimal(28,{max(scale, SCALE)})")
+
+
 def rnd(c: Colish, places: int = 0) -> Column:
-    """SQL ROUND (half away from zero), computed on DOUBLE."""
+    """SQL ROUND (half away from zero), computed on DOUBLE.
+
+    From 2^53 / 10^places on a DOUBLE has no digit left to round: it stays as it is.
+    """
     x = as_col(c).cast("double")
     factor = float(10**places)
     # Whole-number arithmetic until the last step, so there is no negative zero.
-    return F.signum(x).cast("bigint") * F.floor(F.abs(x) * factor + 0.5) / factor
+    rounded = F.signum(x).cast("bigint") * F.floor(F.abs(x) * factor + 0.5) / factor
+    return F.when(F.abs(x) * factor >= float(2**53), x).otherwise(rounded)
 
 
 def ratio(num: Colish, den: Colish) -> Column:

@@ -26,6 +26,17 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Colish]) ->
 latest_per_key = dedup_latest
 
 
+def total_order(df: DataFrame, order: Sequence[Colish]) -> list[Colish]:
+    """``order``, then every other sortable column by name: rows that still tie are equal.
+
+    Two different rows of one key in one file then give the same survivor however the data is
+    partitioned.
+    """
+    named = {o for o in order if isinstance(o, str)}
+    rest = [f.name for f in df.schema if f.name not in named and "map<" not in f.dataType.simpleString()]
+    return [*order, *sorted(rest)]
+
+
 def latest_with_ties(df: DataFrame, keys: Sequence[str], order: Colish) -> DataFrame:
     """Every row that carries its key's greatest ``order`` value (a join to MAX keeps ties).
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from quarrylens.functions.numeric import ratio, rnd
 
-WORDS = r"[^\p{L}]+"
+WORDS = r"[^\p{L}\p{N}]+"
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def chunk(docs: DataFrame, size: int = 800, overlap: int = 100, id_col: str = "d
 
 
 def tokens(c: str | Column) -> Column:
-    """Lower-case words of letters."""
+    """Lower-case words of letters and digits."""
     text = F.col(c) if isinstance(c, str) else c
     return F.filter(F.split(F.lower(text), WORDS), lambda w: F.length(w) > 0)
 

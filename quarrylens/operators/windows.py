@@ -8,6 +8,8 @@ aggregates and joins instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,9 +18,14 @@ from quarrylens.functions.numeric import Colish, as_col, pct
 
 
 def share_of_group(df: DataFrame, group: Sequence[str], measure: str, out: str = "share_pct") -> DataFrame:
-    """Percent of the group's total.  The total is a second aggregate, joined back."""
-    totals = df.groupBy(*group).agg(F.sum(measure).alias("_total"))
-    return df.join(totals, list(group)).withColumn(out, pct(measure, "_total")).drop("_total")
+    """Percent of the group's total.  The total is a second aggregate, joined back.
+
+    NULLs in the group columns form a group, as in a window.
+    """
+    names = [f"_group_{i}" for i in range(len(group))]
+    totals = df.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(F.sum(measure).alias("_total"))
+    same = reduce(and_, [F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group, names)])
+    return df.join(totals, same).withColumn(out, pct(measure, "_total")).drop("_total", *names)
 
 
 def concentration(df: DataFrame, group: str, member: str, threshold: float, *aggs) -> DataFrame:
@@ -43,14 +50,15 @@ def ranked(df: DataFrame, by: str, desc: bool = True, out: str = "rank", buckets
     Distinct values are cut into ranges at approximate quantiles (at most ``buckets``
     limits, one scalar subquery), ranked inside each range, shifted by the number of
     values in the ranges before, and joined back.  Ties on one value are one row here,
-    so a value shared by most rows costs nothing extra.
+    so a value shared by most rows costs nothing extra.  NULL ranks last either way.
     """
     x = F.col(by).cast("double")
     values = df.groupBy(by).agg(F.count(F.lit(1)).alias("_n"))
     cuts = [i / buckets for i in range(1, buckets)]
     limits = values.agg(F.percentile_approx(x, cuts, 20 * buckets).alias("_q")).select("_q").scalar()
     below = F.aggregate(F.col("_limits"), F.lit(0), lambda acc, q: acc + (q < x).cast("int"))
-    values = values.withColumn("_limits", limits).withColumn("_b", below).drop("_limits")
+    last = F.lit(-1 if desc else buckets)
+    values = values.withColumn("_limits", limits).withColumn("_b", F.coalesce(below, last)).drop("_limits")
     sizes = values.groupBy("_b").agg(F.count(F.lit(1)).alias("_values"), F.sum("_n").alias("_rows"))
     # At most ``buckets`` rows, so ordering them in one task is bounded.
     before = Window.partitionBy(F.lit(0)).orderBy(F.col("_b").desc() if desc else F.col("_b"))
@@ -62,9 +70,9 @@ def ranked(df: DataFrame, by: str, desc: bool = True, out: str = "rank", buckets
     else:
         position = F.sum("_n").over(inside) - F.col("_n") + 1
     ranks = values.withColumn("_pos", position).join(offsets, "_b").select(
-        F.col(by), (F.col("_pos") + F.col("_offset")).cast("bigint").alias(out)
+        F.col(by).alias("_value"), (F.col("_pos") + F.col("_offset")).cast("bigint").alias(out)
     )
-    return df.join(ranks, by)
+    return df.join(ranks, F.col(by).eqNullSafe(F.col("_value"))).drop("_value")
 
 
 def month_to_date(df: DataFrame, day: str, measure: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import dec, pct, ratio, rnd
+from quarrylens.functions.numeric import dec, exact, pct, ratio, rnd
 from quarrylens.functions.predicates import month_start, since_months
 from quarrylens.operators.joins import fan_out, join_left_agg, reconcile, sites_with_both
 from quarrylens.operators.latest import dedup_latest, latest_snapshot, latest_with_ties
@@ -49,7 +49,7 @@ def _incidents_by(t: Tables, *keys: str, rows: DataFrame | None = None) -> DataF
         aggs.n_rows().alias("_rows_b"),
         aggs.distinct("incident_id").alias("incidents"),
         aggs.count_where(rules.is_lti("lost_time_days")).alias("ltis"),
-        F.sum(dec("lost_time_days")).alias("_lost"),
+        F.sum(exact("lost_time_days")).alias("_lost"),
     )
 
 
@@ -359,10 +359,10 @@ def behind_and_rising(t: Tables) -> DataFrame:
 
 
 @query("q_x_18", "Board risk briefing")
-def board_risks(t: Tables, as_of: date = FLEET_DAY) -> DataFrame:
+def board_risks(t: Tables, as_of: date = FLEET_DAY, cpi_limit: float = 0.85) -> DataFrame:
     """Five counted risk lists in long form."""
     count = aggs.n_rows().cast("double").alias("value")
-    low_cpi = latest_snapshot(t["financials"]).filter(F.col("cpi") < 0.95)
+    low_cpi = latest_snapshot(t["financials"]).filter(F.col("cpi") < cpi_limit)
     critical = t["incidents"].filter((F.col("severity") == "Critical") & rules.is_open("status"))
     late = latest_with_ties(t["telemetry"], ["equipment_id"], "reading_timestamp").filter(
         rules.overdue("maintenance_due_date", as_of, "status")
@@ -391,10 +391,10 @@ def monthly_pass_rate(t: Tables) -> DataFrame:
 
 
 @query("q_x_20", "Red projects of a division with incidents and equipment at their sites")
-def red_sites(t: Tables, division: str = "ASIA") -> DataFrame:
+def red_sites(t: Tables, division: str = "ASIA", statuses: tuple[str, ...] = ("red",)) -> DataFrame:
     red = (
         latest_snapshot(t["financials"])
-        .filter((F.col("division") == division) & F.col("status").isin("red", "amber"))
+        .filter((F.col("division") == division) & F.col("status").isin(*statuses))
         .groupBy(F.col("state").alias("site_name"))
         .agg(aggs.n_rows().alias("projects"), aggs.total("budget_aud", MONEY).alias("budget_aud"))
     )

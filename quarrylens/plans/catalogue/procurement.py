@@ -354,6 +354,11 @@ def supplier_concentration(t: Tables, threshold: float = 30.0, group: str = "cat
     )
 
 
+@query("q_pr_20_division", "Division concentration in a category")
+def division_concentration(t: Tables) -> DataFrame:
+    return supplier_concentration(t, threshold=20.0, member="division")
+
+
 @query("q_pr_20_site", "Supplier site concentration in a category")
 def site_concentration(t: Tables) -> DataFrame:
     return supplier_concentration(t, threshold=4.0, member="site_name")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import dec, pct, ratio, rnd
+from quarrylens.functions.numeric import exact, pct, ratio, rnd
 from quarrylens.functions.predicates import (
     after_hour,
     domain_rank,
@@ -234,7 +234,7 @@ def dust_suppression(t: Tables, monitors: Sequence[str] = ("dust_pm10", "dust_pm
             aggs.n_rows().alias("_n"),
             _n(F.col("is_exceedance"), "_over"),
             F.max("measurement_value").alias("_max"),
-            F.sum(dec("threshold_value")).alias("_limit"),
+            F.sum(exact("threshold_value")).alias("_limit"),
             F.count("threshold_value").alias("_n_limit"),
             *newest,
         )

@@ -148,7 +148,7 @@ def category_basis(t: Tables) -> DataFrame:
 def other_labels(t: Tables) -> DataFrame:
     from quarrylens.plans.products import ORDERS_AS_OF
 
-    rows = silver.inventory_snapshots(t["bronze_warehouse_stock"], ORDERS_AS_OF, labels=("critical", "low", "adequate", "surplus"))
+    rows = silver.inventory_snapshots(t["bronze_warehouse_stock"], ORDERS_AS_OF, ("_ingested_at",), labels=("critical", "low", "adequate", "surplus"))
     return rows.groupBy("region", "stock_status").agg(aggs.n_rows().alias("items"))
 
 
@@ -404,10 +404,10 @@ def j9(spark: SparkSession, folder: str) -> DataFrame:
 # --- retrieval and evaluation -----------------------------------------------
 
 
-def keyword_queries(t: Tables, letters: int = 9) -> DataFrame:
-    """Keywords of each benchmark item: its distinct words of at least ``letters`` letters."""
+def keyword_queries(t: Tables) -> DataFrame:
+    """Keywords of each benchmark item: all its distinct words; common ones weigh little in BM25."""
     words = t["benchmark"].select(F.col("item_id").alias("query_id"), F.explode(retrieval.tokens("text")).alias("term"))
-    return words.filter(F.length("term") >= letters).distinct()
+    return words.distinct()
 
 
 @demo("s1_chunks")
@@ -493,3 +493,40 @@ def newest_pings(t: Tables) -> DataFrame:
 
 
 DEMOS["f1_newest_ping"] = lambda t: newest_pings(t).select("vehicle_id", "ping_id", "site_name")
+
+
+@demo("i_round_large")
+def round_large(t: Tables) -> DataFrame:
+    """Rounding of amounts far beyond 2^53 beside ordinary ones."""
+    price = F.col("l_extendedprice")
+    return t["lineitem"].select(
+        "l_orderkey",
+        "l_linenumber",
+        rnd(price * 1e12, 4).alias("large"),
+        rnd(-price * 1e9, 4).alias("negative"),
+        rnd(price / 7, 2).alias("ordinary"),
+    )
+
+
+@demo("e_fine_decimals")
+def fine_decimals(t: Tables) -> DataFrame:
+    """Sums and means of values with more than two decimals, and of very large ones."""
+    fine, large = F.col("l_tax") / 16, F.col("l_extendedprice") * 1e9
+    return t["lineitem"].groupBy("l_returnflag").agg(
+        aggs.total(fine).alias("fine_sum"), aggs.mean(fine).alias("fine_mean"), aggs.mean(large).alias("large_mean")
+    )
+
+
+@demo("f3_null_group")
+def null_group_share(t: Tables) -> DataFrame:
+    """Severity shares where one division's rows have no division."""
+    division = F.when(F.col("division") != "ASIA", F.col("division")).alias("division")
+    counted = t["incidents"].groupBy(division, "severity").agg(aggs.n_rows().alias("incidents"))
+    return windows.share_of_group(counted, ["division"], "incidents", "share_pct")
+
+
+@demo("f6_null_rank")
+def null_rank(t: Tables) -> DataFrame:
+    """Rank of units by top fuel level, where some have no level."""
+    level = F.when(F.col("equipment_id").rlike("[1-9]$"), F.max("fuel_level_pct")).alias("top_fuel")
+    return windows.ranked(t["telemetry"].groupBy("equipment_id").agg(level), "top_fuel", out="fuel_rank", dense=False)

@@ -10,13 +10,14 @@ from quarrylens.sources.derived import DELIVERY_ORDER
 # Reporting days of the order-based and the event-based tables.
 ORDERS_AS_OF = date(2001, 7, 1)
 EVENTS_AS_OF = date(2024, 1, 30)
+LOADED = ("_ingested_at",)
 DERIVED_KEYS = ("_partkey", "_suppkey", "_price", "_discount", "_tax")
 
 PRODUCTS = {
-    "silver_fleet_positions": lambda t: silver.fleet_positions(t["bronze_gps_pings"]),
+    "silver_fleet_positions": lambda t: silver.fleet_positions(t["bronze_gps_pings"], LOADED),
     "silver_deliveries": lambda t: silver.deliveries(t["bronze_delivery_receipts"], DELIVERY_ORDER).drop(*DERIVED_KEYS),
-    "silver_inventory": lambda t: silver.inventory_snapshots(t["bronze_warehouse_stock"], ORDERS_AS_OF),
-    "silver_invoices": lambda t: silver.invoices(t["bronze_supplier_invoices"], ORDERS_AS_OF),
+    "silver_inventory": lambda t: silver.inventory_snapshots(t["bronze_warehouse_stock"], ORDERS_AS_OF, LOADED),
+    "silver_invoices": lambda t: silver.invoices(t["bronze_supplier_invoices"], ORDERS_AS_OF, LOADED),
     "gold_fleet_utilisation_daily": lambda t: gold.fleet_utilisation_daily(t["silver_fleet_positions"]),
     "gold_delivery_performance": lambda t: gold.delivery_performance(t["silver_deliveries"]),
     "gold_inventory_health": lambda t: gold.inventory_health(t["silver_inventory"]),

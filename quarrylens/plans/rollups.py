@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import clamp, dec, pct, ratio, rnd
+from quarrylens.functions.numeric import clamp, dec, exact, pct, ratio, rnd
 from quarrylens.functions.predicates import label, month_start
 from quarrylens.functions.vocab import EQUIPMENT_STATUSES, SEVERITIES, SUPPLY_RISK
 from quarrylens.operators.joins import full_on, join_left_agg
@@ -240,9 +240,9 @@ def procurement_analytics(mat: DataFrame) -> DataFrame:
     price = F.col("unit_price_aud").cast("decimal(12,2)")
     per_lead = mat.groupBy("supplier", "category", "lead_time_days").agg(
         aggs.n_rows().alias("_n"),
-        F.sum(dec("total_cost_aud")).alias("_cost"),
+        F.sum(exact("total_cost_aud")).alias("_cost"),
         F.count("unit_price_aud").alias("_n_price"),
-        F.sum(dec("unit_price_aud")).alias("_price"),
+        F.sum(exact("unit_price_aud")).alias("_price"),
         F.sum(price * price).alias("_price2"),
         aggs.count_where(F.col("availability").isin(*SUPPLY_RISK)).alias("_risky"),
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from quarrylens.functions.numeric import Colish, clamp
 from quarrylens.functions.predicates import default_null, in_bbox, label, to_date_safe, to_ts_safe
 from quarrylens.functions.vocab import STOCK_STATUSES
-from quarrylens.operators.latest import dedup_latest
+from quarrylens.operators.latest import dedup_latest, total_order
 
 # The continent the sites are on (south, north, west, east) and the speed limits.
 BBOX = (-45.0, -10.0, 110.0, 155.0)
@@ -25,12 +25,12 @@ INGEST_META = ("_ingested_at", "_source_file")
 
 def fleet_positions(
     pings: DataFrame,
-    order: Sequence[Colish] = ("_ingested_at",),
+    order: Sequence[Colish],
     bbox: tuple[float, float, float, float] = BBOX,
     moving_above: float = 1.0,
 ) -> DataFrame:
     """One valid ping per id, speed limited, with moving / idling flags."""
-    newest = dedup_latest(pings, ["ping_id"], order)
+    newest = dedup_latest(pings, ["ping_id"], total_order(pings, order))
     speed = F.col("speed_kmh")
     return (
         newest.filter(in_bbox("latitude", "longitude", *bbox))
@@ -42,7 +42,7 @@ def fleet_positions(
 
 def deliveries(
     receipts: DataFrame,
-    order: Sequence[Colish] = ("_ingested_at",),
+    order: Sequence[Colish],
     tolerance_pct: float = 1.0,
     basis: str = "order",
 ) -> DataFrame:
@@ -51,7 +51,7 @@ def deliveries(
     ``basis='order'`` compares the total with quantity x unit price;
     ``basis='category'`` compares the unit price with the material's average.
     """
-    newest = dedup_latest(receipts, ["delivery_id"], order).withColumn("delivery_date", to_date_safe("delivery_date"))
+    newest = dedup_latest(receipts, ["delivery_id"], total_order(receipts, order)).withColumn("delivery_date", to_date_safe("delivery_date"))
     if basis == "category":
         typical = newest.groupBy("material").agg(
             F.try_divide(F.sum(F.col("unit_price").cast("decimal(18,4)")).cast("double"), F.count("unit_price")).alias("_expected")
@@ -78,13 +78,13 @@ def deliveries(
 def inventory_snapshots(
     stock: DataFrame,
     as_of: date,
-    order: Sequence[Colish] = ("_ingested_at",),
+    order: Sequence[Colish],
     labels: Sequence[str] = STOCK_STATUSES,
     overstock_factor: int = 3,
 ) -> DataFrame:
     """One row per warehouse, material and batch; ``labels`` are empty, low, fine, too much."""
     empty, low, fine, too_much = labels
-    newest = dedup_latest(stock, ["warehouse_id", "material", "batch_id"], order)
+    newest = dedup_latest(stock, ["warehouse_id", "material", "batch_id"], total_order(stock, order))
     on_hand = F.col("on_hand_qty")
     return (
         newest.withColumns(
@@ -111,9 +111,9 @@ def inventory_snapshots(
     )
 
 
-def invoices(bills: DataFrame, as_of: date, order: Sequence[Colish] = ("_ingested_at",), gst_rate: float = 0.1) -> DataFrame:
+def invoices(bills: DataFrame, as_of: date, order: Sequence[Colish], gst_rate: float = 0.1) -> DataFrame:
     """One row per invoice with tax check and days to the due date."""
-    newest = dedup_latest(bills, ["invoice_id"], order)
+    newest = dedup_latest(bills, ["invoice_id"], total_order(bills, order))
     due = F.col("due_date")
     return (
         newest.withColumns({"invoice_date": to_date_safe("invoice_date"), "due_date": to_date_safe("due_date")})

@@ -16,7 +16,7 @@ from quarrylens.sources.derived import derived_tables
 Registered = Callable[[SparkSession, str], DataFrame]
 
 # Parameters for the given tables, where the published value matches nothing in them.
-PARAMETERS = {"q_pr_20": {"threshold": 20.0, "member": "division"}}
+PARAMETERS = {"q_pr_20": {"threshold": 2.0}}
 
 
 
@@ -25,25 +25,11 @@ def _plain_time(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
 
 
-# Output shaping: columns that carry no information in the derived tables are left out.
+# Output shaping: whole products; rounding and zone-free times as the SQL twins have them.
 SHAPES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "silver_deliveries": lambda df: df.select(
-        "delivery_id",
-        "supplier",
-        "material",
-        "quantity",
-        "total_cost",
-        "destination_site",
-        "po_number",
-        "delivery_date",
-        rnd("cost_variance_pct", 6).alias("cost_variance_pct"),
-        "cost_validated",
-        "condition",
-        "is_damaged",
-    ),
-    "silver_inventory": lambda df: _plain_time(df.drop("unit"), "snapshot_timestamp"),
-    "gold_inventory_health": lambda df: _plain_time(df.drop("unit"), "snapshot_timestamp"),
-    "silver_invoices": lambda df: df.drop("currency", "batch_id"),
+    "silver_deliveries": lambda df: df.withColumn("cost_variance_pct", rnd("cost_variance_pct", 6)),
+    "silver_inventory": lambda df: _plain_time(df, "snapshot_timestamp"),
+    "gold_inventory_health": lambda df: _plain_time(df, "snapshot_timestamp"),
     "silver_fleet_positions": lambda df: _plain_time(df, "ping_timestamp"),
 }
 

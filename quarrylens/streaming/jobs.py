@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import Colish, as_col, dec, pct, ratio, rnd
+from quarrylens.functions.numeric import as_col, Colish, dec, exact, pct, ratio, rnd
 from quarrylens.operators.latest import dedup_latest
 
 
@@ -115,10 +115,10 @@ def stream_fleet_daily(positions: DataFrame, delay: str, event_time: str = "ping
             aggs.count_where(moving).alias("moving_pings"),
             aggs.count_where(idle).alias("idling_pings"),
             aggs.count_where(~F.col("engine_on")).alias("off_pings"),
-            F.sum(dec("speed_kmh")).alias("_speed"),
+            F.sum(exact("speed_kmh")).alias("_speed"),
             F.count("speed_kmh").alias("_n_speed"),
             F.max("speed_kmh").alias("_max_speed"),
-            F.sum(dec("fuel_level_pct")).alias("_fuel"),
+            F.sum(exact("fuel_level_pct")).alias("_fuel"),
             F.count("fuel_level_pct").alias("_n_fuel"),
             F.min("fuel_level_pct").alias("_min_fuel"),
         )

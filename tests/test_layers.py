@@ -11,6 +11,7 @@ from quarrylens.operators.evaluate import execution_match
 from quarrylens.plans import gold, silver
 
 T0, T1 = datetime(2025, 1, 1), datetime(2025, 1, 2)
+LOADED = ("_ingested_at",)
 AS_OF = date(2025, 7, 1)
 
 
@@ -26,11 +27,11 @@ PINGS = (
 
 def test_fleet_positions(spark):
     rows = [ping(str(i), s) for i, s in enumerate([-1.0, 0.0, 1.0, 1.01, 120.0, 121.0, None])]
-    out = {r["ping_id"]: r for r in silver.fleet_positions(spark.createDataFrame(rows, PINGS)).collect()}
+    out = {r["ping_id"]: r for r in silver.fleet_positions(spark.createDataFrame(rows, PINGS), LOADED).collect()}
     assert [out[str(i)]["speed_kmh"] for i in range(7)] == [0.0, 0.0, 1.0, 1.01, 120.0, 120.0, None]
     assert [out[str(i)]["is_moving"] for i in range(7)] == [False, False, False, True, True, True, None]
     assert [out[str(i)]["is_idling"] for i in range(7)] == [True, True, True, False, False, False, None]
-    assert "_ingested_at" not in silver.fleet_positions(spark.createDataFrame(rows, PINGS)).columns
+    assert "_ingested_at" not in silver.fleet_positions(spark.createDataFrame(rows, PINGS), LOADED).columns
 
 
 @pytest.mark.parametrize(
@@ -38,14 +39,14 @@ def test_fleet_positions(spark):
     [(-45.0, 110.0, 1), (-10.0, 155.0, 1), (-45.1, 120.0, 0), (-9.9, 120.0, 0), (-20.0, 109.9, 0), (-20.0, 155.1, 0), (None, 120.0, 0)],
 )
 def test_bounding_box(spark, lat, lon, kept):
-    assert silver.fleet_positions(spark.createDataFrame([ping("1", lat=lat, lon=lon)], PINGS)).count() == kept
+    assert silver.fleet_positions(spark.createDataFrame([ping("1", lat=lat, lon=lon)], PINGS), LOADED).count() == kept
 
 
 def test_latest_load_wins_and_reload_changes_nothing(spark):
     df = spark.createDataFrame([ping("1", 10.0), ping("1", 20.0, at=T1), ping("2", 7.0)], PINGS)
-    once = silver.fleet_positions(df)
+    once = silver.fleet_positions(df, LOADED)
     assert {r["ping_id"]: r["speed_kmh"] for r in once.collect()} == {"1": 20.0, "2": 7.0}
-    assert execution_match(silver.fleet_positions(df.unionAll(df)), once).first()["is_match"]
+    assert execution_match(silver.fleet_positions(df.unionAll(df), LOADED), once).first()["is_match"]
 
 
 def receipt(i, qty=10, price=2.0, total=20.0, condition="good", at=T0):
@@ -67,7 +68,7 @@ def test_deliveries(spark):
         receipt("e", qty=None, condition=None),
         receipt("bad"),
     ]
-    out = {r["delivery_id"]: r for r in silver.deliveries(spark.createDataFrame(rows, RECEIPTS)).collect()}
+    out = {r["delivery_id"]: r for r in silver.deliveries(spark.createDataFrame(rows, RECEIPTS), LOADED).collect()}
     assert out["a"]["cost_validated"] and not out["c"]["cost_validated"]
     assert out["d"]["cost_variance_pct"] == 0.0 and out["e"]["cost_variance_pct"] == 0.0
     assert [out[k]["is_damaged"] for k in "abcde"] == [False, False, True, True, False]
@@ -87,7 +88,7 @@ STOCK = (
 
 def test_inventory_labels(spark):
     rows = [stock("a", 0, True), stock("b", -5, True), stock("c", 5, True), stock("d", 10, False), stock("e", 30, False), stock("f", 31, False)]
-    out = {r["material"]: r for r in silver.inventory_snapshots(spark.createDataFrame(rows, STOCK), AS_OF).collect()}
+    out = {r["material"]: r for r in silver.inventory_snapshots(spark.createDataFrame(rows, STOCK), AS_OF, LOADED).collect()}
     assert [out[k]["stock_status"] for k in "abcdef"] == ["out_of_stock", "out_of_stock", "below_reorder", "healthy", "healthy", "overstocked"]
     assert out["b"]["on_hand_qty"] == 0 and out["a"]["days_since_replenishment"] == 30
 
@@ -95,7 +96,7 @@ def test_inventory_labels(spark):
 def test_inventory_health_takes_newest_snapshot(spark):
     rows = [stock("a", 5, True), stock("a", 50, False)]
     rows[1] = rows[1][:8] + ("2025-06-09 00:00:00", "b2") + rows[1][10:]
-    snaps = silver.inventory_snapshots(spark.createDataFrame(rows, STOCK), AS_OF)
+    snaps = silver.inventory_snapshots(spark.createDataFrame(rows, STOCK), AS_OF, LOADED)
     assert [r["on_hand_qty"] for r in gold.inventory_health(snaps).collect()] == [50]
 
 
@@ -120,7 +121,7 @@ def test_invoices_and_aging(spark):
         invoice("o", None),
         invoice("p", "2025-12-01", "approved"),
     ]
-    aged = gold.invoice_aging(silver.invoices(spark.createDataFrame(rows, INVOICES), AS_OF))
+    aged = gold.invoice_aging(silver.invoices(spark.createDataFrame(rows, INVOICES), AS_OF, LOADED))
     out = {r["invoice_id"]: (r["aging_bucket"], r["payment_risk"]) for r in aged.collect()}
     assert out == {
         "a": ("overdue_90_plus", "high"),
@@ -144,14 +145,14 @@ def test_invoices_and_aging(spark):
 
 def test_gst_tolerance(spark):
     rows = [invoice("a", "2025-08-01", gst=10.99), invoice("b", "2025-08-01", gst=11.0), invoice("c", "2025-08-01", gst=9.0)]
-    out = {r["invoice_id"]: r["gst_validated"] for r in silver.invoices(spark.createDataFrame(rows, INVOICES), AS_OF).collect()}
+    out = {r["invoice_id"]: r["gst_validated"] for r in silver.invoices(spark.createDataFrame(rows, INVOICES), AS_OF, LOADED).collect()}
     assert out == {"a": True, "b": False, "c": False}
 
 
 def test_site_summary_keeps_one_sided_and_null_sites(spark):
-    pos = silver.fleet_positions(spark.createDataFrame([ping("1", site="x"), ping("2", site=None)], PINGS))
-    dlv = silver.deliveries(spark.createDataFrame([receipt("a")], RECEIPTS))
-    inv = silver.invoices(spark.createDataFrame([invoice("i", "2025-01-01", site="x"), invoice("j", "2025-01-01", site=None)], INVOICES), AS_OF)
+    pos = silver.fleet_positions(spark.createDataFrame([ping("1", site="x"), ping("2", site=None)], PINGS), LOADED)
+    dlv = silver.deliveries(spark.createDataFrame([receipt("a")], RECEIPTS), LOADED)
+    inv = silver.invoices(spark.createDataFrame([invoice("i", "2025-01-01", site="x"), invoice("j", "2025-01-01", site=None)], INVOICES), AS_OF, LOADED)
     out = sorted(((r["site_name"] or "", r["active_vehicles"], r["total_deliveries"], r["overdue_amount_aud"]) for r in gold.site_operations_summary(pos, dlv, inv).collect()), key=str)
     # A missing site never matches another missing site: one row per side.
     assert out == sorted([("", 1, None, None), ("", None, None, 110.0), ("site", None, 1, None), ("x", 1, None, 110.0)], key=str)
@@ -175,7 +176,7 @@ def test_supplier_tiers_use_unrounded_score_and_one_sided_suppliers(spark):
 
 def test_fleet_daily_counts(spark):
     rows = [ping("1", 0.0), ping("2", 50.0), ping("3", 100.0), ping("4", 0.5, on=False)]
-    r = gold.fleet_utilisation_daily(silver.fleet_positions(spark.createDataFrame(rows, PINGS))).collect()[0]
+    r = gold.fleet_utilisation_daily(silver.fleet_positions(spark.createDataFrame(rows, PINGS), LOADED)).collect()[0]
     assert (r["total_pings"], r["moving_pings"], r["idling_pings"], r["off_pings"]) == (4, 2, 1, 1)
     assert (r["avg_speed_kmh"], r["utilisation_pct"], r["idle_pct"]) == (37.6, 50.0, 25.0)
     assert r["report_date"] == date(2025, 1, 1)
@@ -191,3 +192,11 @@ def test_hot_key_dedup(spark):
     assert out.filter("k = -1").first()["v"] == 29_997
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_dedup_survivor_does_not_depend_on_partitions(spark, partitions):
+    rows = [ping("1", speed=float(i % 7), on=i % 2 == 0, site=f"s{i % 3}") for i in range(40)]
+    df = spark.createDataFrame(rows, PINGS).repartition(partitions)
+    kept = silver.fleet_positions(df, LOADED).collect()
+    assert [(r["speed_kmh"], r["engine_on"], r["site_name"]) for r in kept] == [(6.0, True, "s2")]
