@@ -123,6 +123,8 @@ EXTRA: dict[str, str] = {
     "f6_null_rank": """SELECT *, rank() OVER (ORDER BY top_fuel DESC NULLS LAST) AS fuel_rank
         FROM (SELECT equipment_id, CASE WHEN regexp_matches(equipment_id, '[1-9]$') THEN MAX(fuel_level_pct) END AS top_fuel FROM telemetry GROUP BY 1)""",
     # --- streams: the batch answer
+    "a_landing_roundtrip": """SELECT invoice_id, supplier, CASE WHEN year(invoice_date) % 2 = 0 THEN 'AUD' END AS currency, site, total_aud,
+        CAST(year(invoice_date) AS VARCHAR) AS batch_id FROM silver_invoices""",
     "j1_stream_ingest": """SELECT CAST(year(invoice_date) AS VARCHAR) AS batch_id, payment_status, COUNT(*) AS invoices, TOT(total_aud, 3) AS total_aud
         FROM silver_invoices GROUP BY 1, 2""",
     "j3_stream_upsert_latest": """SELECT site, payment_status, invoice_id, CAST(invoice_date AS VARCHAR) AS invoice_date, total_aud

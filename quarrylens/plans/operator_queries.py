@@ -6,6 +6,8 @@ event file, retrieval over documents and embeddings, evaluation over labels.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +20,7 @@ from quarrylens.operators.latest import dedup_latest
 from quarrylens.plans import gold, silver
 from quarrylens.plans.rollups import MONEY
 from quarrylens.session import work_dir
-from quarrylens.sources import sinks
+from quarrylens.sources import landing, sinks
 from quarrylens.sources.derived import DELIVERY_ORDER, VIEWS, derived_tables
 from quarrylens.sources.landing import BAD_COLUMNS, as_text, conform
 from quarrylens.sources.schemas import SUPPLIER_INVOICES, schema
@@ -26,6 +28,7 @@ from quarrylens.sources.tables import Tables
 from quarrylens.streaming import jobs
 
 DEMOS = {}
+LOADED_AT = datetime(2001, 7, 1)
 
 
 def demo(key: str):
@@ -313,12 +316,15 @@ def _landing(spark: SparkSession, folder: str, label: str) -> tuple[Tables, str]
 
 @stream("j1_stream_ingest")
 def j1(spark: SparkSession, folder: str) -> DataFrame:
-    """Landing files taken up by two runs of the same stream: each file counts once."""
+    """Landing files taken up by two runs of the same stream, a few at a time: each counts once."""
     _, root = _landing(spark, folder, "ingest")
-    source = jobs.read_stream(spark, f"{root}/landing/*/*.csv", "csv", SUPPLIER_INVOICES)
     for _ in range(2):
-        jobs.run_to_end(jobs.write_log(source, f"{root}/log", f"{root}/checkpoint"))
-    return jobs.read_log(spark, f"{root}/log").groupBy("batch_id", "payment_status").agg(
+        jobs.run_to_end(
+            jobs.stream_ingest(
+                spark, f"{root}/landing", "*.csv", "csv", SUPPLIER_INVOICES, f"{root}/log", f"{root}/checkpoint", LOADED_AT, 4
+            )
+        )
+    return jobs.read_log(spark, f"{root}/log").filter("_rejected = 0").groupBy("batch_id", "payment_status").agg(
         aggs.n_rows().alias("invoices"), aggs.total("total_aud", 3).alias("total_aud")
     )
 
@@ -530,3 +536,23 @@ def null_rank(t: Tables) -> DataFrame:
     """Rank of units by top fuel level, where some have no level."""
     level = F.when(F.col("equipment_id").rlike("[1-9]$"), F.max("fuel_level_pct")).alias("top_fuel")
     return windows.ranked(t["telemetry"].groupBy("equipment_id").agg(level), "top_fuel", out="fuel_rank", dense=False)
+
+
+@stream("a_landing_roundtrip")
+def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Invoices landed with columns moved, missing and added per batch, read back by name."""
+    t = derived_tables(spark, folder)
+    root = work_dir(spark, "roundtrip")
+    names = [f.name for f in SUPPLIER_INVOICES]
+    rows = t["bronze_supplier_invoices"].select(*names)
+    odd = F.year("invoice_date") % 2 == 1
+    shuffled = rows.filter(odd).select(*reversed(names), F.lit("x").alias("remark")).drop("currency")
+    rows.filter(~odd).write.option("header", True).csv(f"{root}/landing/20010701/supplier_invoices/a")
+    shuffled.write.option("header", True).csv(f"{root}/landing/20010701/supplier_invoices/b")
+    path = landing.resolve_batch(spark, f"{root}/landing")
+    raw = landing.read_feed(spark, f"{path}/supplier_invoices/*", "csv", SUPPLIER_INVOICES, text=True)
+    good, bad = landing.split_rejects(conform(landing.with_ingest_meta(raw, LOADED_AT), SUPPLIER_INVOICES, report=True))
+    good.write.mode("append").parquet(f"{root}/bronze")
+    return spark.read.parquet(f"{root}/bronze").select("invoice_id", "supplier", "currency", "site", "total_aud", "batch_id").unionByName(
+        bad.select("invoice_id", "supplier", "currency", "site", "total_aud", "batch_id")
+    )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,8 +34,49 @@ def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
 
 
-def read_feed(spark: SparkSession, path: str, fmt: str, schema: T.StructType, text: bool = False) -> DataFrame:
-    """Read one feed with a declared schema; nothing is inferred from the data."""
+def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Column names -> files that begin with them.
+
+    The first line is taken from the split that begins each file, which one task reads in order.
+    The driver sees one line and one path per file, as in a listing.
+    """
+    lines = spark.read.text(paths).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
+    )
+    found = lines.filter("start = 0").groupBy("file").agg(F.first("value").alias("header")).collect()
+    out: dict[tuple[str, ...], list[str]] = {}
+    for row in sorted(found):
+        names = tuple(n.strip() for n in next(csv.reader([row["header"].removeprefix("\ufeff")]), []))
+        out.setdefault(names, []).append(row["file"])
+    return out
+
+
+def read_csv_by_name(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+    """Cells as text under their header's names, whatever order or set of columns a file has.
+
+    Files with one header are read together.  Columns that a file lacks are NULL, columns that
+    the schema lacks are left out; ``_source_file`` names each row's file.
+    """
+    parts = []
+    for names, files in csv_headers(spark, paths).items():
+        # A repeated name keeps its first column.
+        unique = [n if names.index(n) == i else f"{n}_{i}" for i, n in enumerate(names)]
+        own = T.StructType([T.StructField(n, T.StringType(), True) for n in unique])
+        rows = spark.read.schema(own).option("header", True).csv(files)
+        cells = [F.col(f"`{f.name}`") if f.name in unique else F.lit(None).cast("string").alias(f.name) for f in schema]
+        parts.append(rows.select(*cells, F.col("_metadata.file_path").alias("_source_file")))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([*as_text(schema), T.StructField("_source_file", T.StringType())]))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def read_feed(spark: SparkSession, path: str | list[str], fmt: str, schema: T.StructType, text: bool = False) -> DataFrame:
+    """Read one feed with a declared schema; nothing is inferred from the data.
+
+    As text, CSV is read by header name.  Typed CSV must have exactly the declared header.
+    """
+    if fmt == "csv" and text:
+        return read_csv_by_name(spark, path, schema)
     wanted = as_text(schema) if text else schema
     reader = spark.read.schema(wanted)
     if fmt == "csv":
@@ -45,9 +88,10 @@ def read_feed(spark: SparkSession, path: str, fmt: str, schema: T.StructType, te
 
 def with_ingest_meta(df: DataFrame, ingested_at: datetime) -> DataFrame:
     """Ingestion time and source file of each row."""
-    return df.select(
-        "*", F.lit(ingested_at).cast("timestamp").alias("_ingested_at"), F.col("_metadata.file_path").alias("_source_file")
-    )
+    stamped = F.lit(ingested_at).cast("timestamp").alias("_ingested_at")
+    if "_source_file" in df.columns:
+        return df.select("*", stamped)
+    return df.select("*", stamped, F.col("_metadata.file_path").alias("_source_file"))
 
 
 BAD_COLUMNS = "_bad_columns"

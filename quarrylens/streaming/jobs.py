@@ -8,6 +8,7 @@ batch that is retried after a failure replaces itself.  Keyed results are merged
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import as_col, Colish, dec, exact, pct, ratio, rnd
 from quarrylens.operators.latest import dedup_latest
+from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, with_ingest_meta
 
 
 def read_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -24,7 +26,8 @@ def read_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType,
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     if fmt == "csv":
-        reader = reader.option("header", True)
+        # A header that differs from the schema ends the query; stream_ingest reads by name.
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(fmt).load(path)
 
 
@@ -73,19 +76,34 @@ def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], or
 # --- ingest -----------------------------------------------------------------
 
 
-def stream_ingest(spark: SparkSession, landing: str, feed: str, fmt: str, schema: T.StructType, out: str, checkpoint: str) -> StreamingQuery:
-    """Append files not seen before; the checkpoint makes each file count once."""
-    rows = read_stream(spark, f"{landing}/*/{feed}", fmt, schema).select(
-        "*", F.current_timestamp().alias("_ingested_at"), F.col("_metadata.file_path").alias("_source_file")
-    )
-    return (
-        rows.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+def stream_ingest(
+    spark: SparkSession,
+    landing: str,
+    feed: str,
+    fmt: str,
+    schema: T.StructType,
+    out: str,
+    checkpoint: str,
+    ingested_at: datetime,
+    files_per_trigger: int = 1000,
+) -> StreamingQuery:
+    """Take up files not seen before; the checkpoint makes each file count once.
+
+    The stream only tells which files are new (at most ``files_per_trigger`` names at a time).
+    Their rows are read by column name, fitted to the schema, and written with the rejects in one
+    overwrite of the batch's folder, split by ``_rejected`` (0 or 1): a batch tried again replaces itself.
+    """
+    names = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(f"{landing}/*/{feed}")
+    names = names.select(F.col("_metadata.file_path").alias("file"))
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        files = [row["file"] for row in batch.distinct().collect()]
+        raw = with_ingest_meta(read_feed(batch.sparkSession, files, fmt, schema, text=True), ingested_at)
+        rows = conform(raw, schema, keep=("_ingested_at", "_source_file"), report=True)
+        rows = rows.withColumn("_rejected", (F.size(BAD_COLUMNS) > 0).cast("int"))
+        rows.write.mode("overwrite").partitionBy("_rejected").parquet(f"{out}/_batch={batch_id}")
+
+    return names.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:

@@ -136,3 +136,48 @@ def test_registry_is_lazy(spark):
     t = Tables(spark, {"a": spark.range(2)})
     t.register_views("reg_")
     assert spark.sql("SELECT * FROM reg_a WHERE id >= :low", args={"low": 1}).count() == 1
+
+
+PINGS_BY_NAME = [
+    ("a", "ping_id,speed_kmh,batch_id", "1,9.5,b"),
+    ("b", "batch_id,ping_id,speed_kmh,colour", "b,2,8.5,red"),
+    ("c", "speed_kmh,ping_id", "fast,3"),
+    ("d", "ping_id", "4"),
+]
+
+
+def _drifting(root):
+    for name, header, row in PINGS_BY_NAME:
+        folder = root / name / "pings"
+        folder.mkdir(parents=True)
+        (folder / "part.csv").write_text(f"{header}\n{row}\n")
+    return str(root)
+
+
+def _seen(rows):
+    return sorted((r["ping_id"], r["speed_kmh"], r["batch_id"], r[landing.BAD_COLUMNS]) for r in rows.collect())
+
+
+EXPECTED = [("1", 9.5, "b", []), ("2", 8.5, "b", []), ("3", None, None, ["speed_kmh"]), ("4", None, None, [])]
+SHORT = schemas.schema("ping_id string, speed_kmh double, batch_id string")
+
+
+def test_csv_is_read_by_header_name(spark, tmp_path):
+    path = _drifting(tmp_path)
+    raw = landing.with_ingest_meta(landing.read_feed(spark, f"{path}/*/pings", "csv", SHORT, text=True), AT)
+    rows = landing.conform(raw, SHORT, keep=("_source_file",), report=True)
+    assert _seen(rows) == EXPECTED
+    assert rows.filter(F.col("_source_file").endswith("part.csv")).count() == 4
+
+
+def test_stream_ingest_by_name_with_rejects(spark, tmp_path):
+    from quarrylens.streaming import jobs
+
+    path = _drifting(tmp_path / "landing")
+    out, checkpoint = str(tmp_path / "log"), str(tmp_path / "checkpoint")
+    for _ in range(2):
+        jobs.run_to_end(jobs.stream_ingest(spark, path, "pings", "csv", SHORT, out, checkpoint, AT, files_per_trigger=1))
+    log = jobs.read_log(spark, out)
+    assert log.select("_batch").distinct().count() == 4
+    assert _seen(log) == EXPECTED
+    assert [r["ping_id"] for r in log.filter("_rejected = 1").collect()] == ["3"]

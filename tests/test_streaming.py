@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     feed.mkdir(parents=True)
     (feed / "a.csv").write_text("k,v,at\nx,1,2025-01-01 00:00:00\n")
     run = lambda: jobs.run_to_end(
-        jobs.stream_ingest(spark, str(tmp_path / "landing"), "feed", "csv", SCHEMA, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+        jobs.stream_ingest(spark, str(tmp_path / "landing"), "feed", "csv", SCHEMA, str(tmp_path / "out"), str(tmp_path / "ckpt"), datetime(2025, 1, 3))
     )
     run()
     run()
