@@ -10,14 +10,17 @@ from tokenizers import Tokenizer
 from quarrylens.llm.common import LOWER_BYTES
 
 # A worker keeps this many words with their ids; beyond it starts anew.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 400_000
+# Words encoded in one call.
+TOGETHER = 8192
 
 
 class WordEncoder:
     """Ids of a text as little-endian 32-bit bytes.
 
-    The vocabulary's pre-tokenizer drops white space and never joins characters across it, so a
-    text's ids are its words' ids in order.  Words are encoded once and looked up afterwards.
+    The vocabulary's pre-tokenizer lower-cases, drops white space and never joins characters
+    across it, so a text's ids are its words' ids in order.  Words are encoded once, many in one
+    call, and looked up afterwards.
     """
 
     def __init__(self, path: str):
@@ -25,7 +28,9 @@ class WordEncoder:
         self.known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        split = [(text or b"").split() for text in texts]
+        # Lower-casing first makes fewer different words; texts that may name a special token
+        # keep their case, as only its exact spelling counts.
+        split = [(t if b"<|" in t else t.translate(LOWER_BYTES)).split() if t else [] for t in texts]
         self.learn(split)
         get = self.known.__getitem__
         return [b"".join(map(get, words)) for words in split]
@@ -34,36 +39,19 @@ class WordEncoder:
         """Make sure that ``known`` holds every word of the texts."""
         if len(self.known) > WORDS_KEPT:
             self.known.clear()
-        words = {w for text in texts for w in text if w not in self.known}
-        parts = {w: self._parts(w) for w in words}
-        new = {p for ps in parts.values() for p in ps if p not in self.known}
-        plain = [p for p in new if self._plain(p)]
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            found = self.tokenizer.encode(b" ".join(some).decode(), add_special_tokens=False)
-            ids = np.array(found.ids, "<u4")
-            ends = np.searchsorted(np.array(found.word_ids), np.arange(len(some) + 1))
-            for word, a, b in zip(some, ends[:-1], ends[1:]):
-                self.known[word] = ids[a:b].tobytes()
-        for word in new.difference(plain):
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            self.known[word] = np.array(ids, "<u4").tobytes()
-        for word, ps in parts.items():
-            self.known[word] = b"".join(self.known[p] for p in ps)
-
-    def _parts(self, word: bytes) -> list[bytes]:
-        """The word without letter case, its closing full stops and commas apart; else itself."""
-        lower = word.translate(LOWER_BYTES)
-        stem = lower.rstrip(b".,")
-        if stem and self._plain(stem):
-            return [stem, lower[len(stem) :]] if len(stem) < len(lower) else [stem]
-        return [word]
-
-    @staticmethod
-    def _plain(word: bytes) -> bool:
-        """Letters below U+0100 only: one pre-token, not changed by normalisation."""
-        text = word.decode("utf-8", "replace")
-        return text.isalpha() and max(text) < "Ā"
+        words = list(set().union(*texts).difference(self.known))
+        for at in range(0, len(words), TOGETHER):
+            some = words[at : at + TOGETHER]
+            decoded = [w.decode("utf-8", "replace") for w in some]
+            found = self.tokenizer.encode(" ".join(decoded), add_special_tokens=False)
+            ids = np.array(found.ids, "<u4").tobytes()
+            places = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.ids))
+            ends = np.cumsum(np.fromiter(map(len, decoded), np.int64, len(some)) + 1)
+            cuts = (4 * np.searchsorted(places, ends)).tolist()
+            first = 0
+            for word, last in zip(some, cuts):
+                self.known[word] = ids[first:last]
+                first = last
 
 
 @lru_cache(maxsize=2)
