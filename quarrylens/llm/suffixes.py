@@ -37,6 +37,8 @@ GRAM = 20
 BLOCK_BYTES = 16 << 20
 PIECE_BYTES = 1 << 18
 RANGE_BYTES = 8 << 20
+# Ranges that even a small input is cut into.
+LEAST_RANGES = 128
 SAMPLE_KEYS = 1 << 16
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -107,7 +109,7 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
 def block_anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarray, ...]:
     """(document number, place, 48-bit hash, order key) of the anchors of many documents.
 
-    The key orders by the six leading bytes of the suffix, then by hash.
+    The key orders by up to six leading bytes of the suffix, then by hash.
     """
     out = []
     first = 0
@@ -122,7 +124,7 @@ def block_anchors(texts: list[bytes], length: int, gram: int) -> tuple[np.ndarra
         doc = np.searchsorted(ends, at, side="right")
         key = np.zeros(len(at), np.uint64)
         for i in range(6):
-            key = key << np.uint64(8) | data[at + i]
+            key = key << np.uint64(8) | (data[at + i] if i < gram else np.uint64(0))
         key = key << np.uint64(16) | hashes >> np.uint64(48)
         out.append((first + doc, at - (ends - [len(t) for t in texts[first:last]])[doc] if len(at) else at, hashes >> np.uint64(16), key))
         first = last
@@ -291,7 +293,7 @@ def _splitters(rows: DataFrame, length: int, gram: int) -> np.ndarray:
     total = rows.agg(F.sum(F.length("body").cast("bigint"))).first()[0] or 0
     some = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(64)) == 0).select("body").mapInArrow(keys, "key bigint")
     sample = some.orderBy(F.xxhash64("key"), "key").limit(SAMPLE_KEYS).toArrow()["key"].to_numpy().view(np.uint64)
-    ranges = int(min(max(16, total // RANGE_BYTES), SAMPLE_KEYS))
+    ranges = int(min(max(LEAST_RANGES, total // RANGE_BYTES), SAMPLE_KEYS))
     sample = np.sort(sample)
     return np.unique(sample[np.linspace(0, len(sample), ranges, endpoint=False).astype(int)[1:]]) if len(sample) else sample
 
