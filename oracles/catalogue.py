@@ -173,7 +173,11 @@ SQL |= {
                   FROM emissions WHERE monitor_type IN ('dust_pm10', 'dust_pm2_5') GROUP BY 1 HAVING CNT(is_exceedance) > 0""",
     "q_sf_14": f"""SELECT shift, COUNT(*) AS incidents, CNT({SIG}) AS serious, RND(TOT(lost_time_days), 1) AS lti_days,
                   CNT(is_near_miss) AS near_misses FROM incidents GROUP BY 1""",
-    "q_sf_15": """SELECT inspection_id, project_name, site_name, inspection_type, discipline, defect_category, severity AS defect_severity,
+    "q_sf_15": """SELECT inspection_id, f.project_name, i.site_name, inspection_type, discipline, defect_category, i.severity AS defect_severity,
+                  rework_cost_aud, inspector, inspection_date
+                  FROM inspections i LEFT JOIN financials f ON i.project_id = f.project_id
+                  WHERE i.result = 'fail' AND i.inspection_type IN ('weld_test', 'concrete_test')""",
+    "q_sf_15_safe": """SELECT inspection_id, project_name, site_name, inspection_type, discipline, defect_category, severity AS defect_severity,
                   rework_cost_aud, inspector, inspection_date
                   FROM inspections LEFT JOIN (SELECT DISTINCT project_id, project_name FROM financials) USING (project_id)
                   WHERE result = 'fail' AND inspection_type IN ('weld_test', 'concrete_test')""",
@@ -210,8 +214,16 @@ SQL |= {
                   RND(RATIO(DBL(r) * 1e6, hours_worked), 2) AS trifr
                   FROM (SELECT site_name, CNT(lost_time_days > 0) AS ltis, CNT(injuries > 0) AS r FROM incidents GROUP BY 1)
                   LEFT JOIN (SELECT site_name, TOT(hours_regular) + TOT(hours_overtime) AS hours_worked FROM timesheets GROUP BY 1) USING (site_name)""",
+    "q_sf_25_division": """SELECT *, CASE WHEN ltifr > previous THEN 'rising' WHEN ltifr < previous THEN 'falling' WHEN ltifr = previous THEN 'flat' END AS trend
+                  FROM (SELECT *, lag(ltifr) OVER (PARTITION BY division ORDER BY month) AS previous
+                  FROM (SELECT division, month, ltis, hours_worked, RND(RATIO(DBL(ltis) * 1e6, hours_worked), 2) AS ltifr
+                  FROM (SELECT division, date_trunc('month', incident_date)::DATE AS month, CNT(lost_time_days > 0) AS ltis FROM incidents GROUP BY 1, 2)
+                  LEFT JOIN (SELECT division, date_trunc('month', work_date)::DATE AS month, TOT(hours_regular) + TOT(hours_overtime) AS hours_worked
+                             FROM timesheets GROUP BY 1, 2) USING (division, month)))""",
     "q_sf_26": """SELECT site_name, COUNT(*) AS inspections, SHARE(result = 'pass') AS first_pass_rate_pct, SHARE(result = 'fail') AS rework_rate_pct
                   FROM inspections GROUP BY 1""",
+    "q_sf_26_project": """SELECT project_id, COUNT(*) AS inspections, SHARE(result = 'pass') AS first_pass_rate_pct
+                  FROM inspections GROUP BY 1""",
     "q_sf_27": """SELECT site_name, month, incidents, previous, incidents - previous AS change
                   FROM (SELECT *, lag(incidents) OVER (PARTITION BY site_name ORDER BY month) AS previous
                         FROM (SELECT site_name, date_trunc('month', incident_date)::DATE AS month, COUNT(*) AS incidents FROM incidents GROUP BY 1, 2))

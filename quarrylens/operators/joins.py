@@ -28,15 +28,6 @@ def broadcast_if_small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if 0 <= size <= limit else df
 
 
-def join_inner(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    return a.join(b, on, "inner")
-
-
-def join_left(a: DataFrame, b: DataFrame, on) -> DataFrame:
-    """Left join; ``on`` may be names or a condition with a residual part."""
-    return a.join(b, on, "left")
-
-
 def join_left_agg(a: DataFrame, aggregates: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Left join pre-aggregated sides, each unique on ``on``: row counts do not change."""
     return reduce(lambda acc, b: acc.join(b, list(on), "left"), aggregates, a)
@@ -96,7 +87,3 @@ def reconcile(detail: DataFrame, kpi: DataFrame, keys: Sequence[str], measures:
     return out.withColumn("difference", diff).withColumn(
         "is_aligned", ~missing & (F.abs(diff) <= F.lit(float(tolerance)))
     )
-
-
-def having(df: DataFrame, cond: Column) -> DataFrame:
-    return df.filter(cond)

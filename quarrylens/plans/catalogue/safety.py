@@ -14,6 +14,7 @@ from quarrylens.functions.predicates import (
     after_hour,
     domain_rank,
     flag,
+    month_start,
     previous_month,
     quarter_of,
     same_year,
@@ -276,8 +277,17 @@ def shift_comparison(t: Tables) -> DataFrame:
 
 @query("q_sf_15", "Failed weld and concrete tests")
 def failed_tests(t: Tables, kinds: Sequence[str] = ("weld_test", "concrete_test")) -> DataFrame:
+    """As published: the join to the project snapshots repeats a test once per snapshot."""
+    return _failed_tests(t, t["financials"].select("project_id", "project_name"), kinds)
+
+
+@query("q_sf_15_safe", "Failed weld and concrete tests, each once")
+def failed_tests_once(t: Tables, kinds: Sequence[str] = ("weld_test", "concrete_test")) -> DataFrame:
     """One row per inspection: the project name comes from the distinct project list."""
-    names = t["financials"].select("project_id", "project_name").distinct()
+    return _failed_tests(t, t["financials"].select("project_id", "project_name").distinct(), kinds)
+
+
+def _failed_tests(t: Tables, names: DataFrame, kinds: Sequence[str]) -> DataFrame:
     failed = t["inspections"].filter((F.col("result") == "fail") & F.col("inspection_type").isin(*kinds))
     return (
         failed.join(names, "project_id", "left")
@@ -486,6 +496,18 @@ def frequency_rate(t: Tables) -> DataFrame:
     )
 
 
+@query("q_sf_25_division", "Lost-time injury frequency rate by division and month, with its trend")
+def frequency_rate_trend(t: Tables) -> DataFrame:
+    hours = t["timesheets"].groupBy("division", month_start("work_date").alias("month")).agg(
+        (aggs.total("hours_regular") + aggs.total("hours_overtime")).alias("hours_worked")
+    )
+    hurt = t["incidents"].groupBy("division", month_start("incident_date").alias("month")).agg(_lti().alias("ltis"))
+    rates = join_left_agg(hurt, [hours], ["division", "month"]).withColumn("ltifr", rnd(rules.ltifr("ltis", "hours_worked"), 2))
+    return month_over_month(rates, ["division"], "month", "ltifr").select(
+        "division", "month", "ltis", "hours_worked", "ltifr", "previous", "trend"
+    )
+
+
 @query("q_sf_26", "First-pass inspection rate by site")
 def first_pass_rate(t: Tables) -> DataFrame:
     return t["inspections"].groupBy("site_name").agg(
@@ -495,6 +517,13 @@ def first_pass_rate(t: Tables) -> DataFrame:
     )
 
 
+@query("q_sf_26_project", "First-pass inspection rate by project")
+def first_pass_rate_by_project(t: Tables) -> DataFrame:
+    return t["inspections"].groupBy("project_id").agg(
+        aggs.n_rows().alias("inspections"), aggs.rate_pct(F.col("result") == "pass").alias("first_pass_rate_pct")
+    )
+
+
 @query("q_sf_27", "Sites with rising incident frequency")
 def rising_sites(t: Tables) -> DataFrame:
     monthly = by_period(t["incidents"], "incident_date", "month", aggs.n_rows().alias("incidents"), keys=["site_name"])

@@ -289,7 +289,3 @@ def compliance_dashboard(em: DataFrame) -> DataFrame:
         aggs.rate_pct(F.col("is_exceedance")).alias("exceedance_rate_pct"),
         F.max("measurement_value").alias("max_reading"),
     )
-
-
-def fleet_status_counts(tel: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return tel.groupBy(*keys).agg(aggs.n_rows().alias("readings"), *aggs.status_counts("status", EQUIPMENT_STATUSES))
