@@ -588,7 +588,9 @@ SQL |= {
                  LEFT JOIN (SELECT site_name, COUNT(*) AS n FROM incidents GROUP BY 1) USING (site_name)
                  LEFT JOIN (SELECT site_name, COUNT(DISTINCT equipment_id) AS e FROM telemetry WHERE status IN ('warning', 'critical') GROUP BY 1) USING (site_name)""",
     "q_x_21": """SELECT project_id, s / CAST(100 AS DOUBLE) AS assumed_spi,
-                 RND(RATIO(planned_value_aud / 1e5, s / CAST(100 AS DOUBLE)) - planned_value_aud / 1e5, 2) AS delay_months
+                 RND(RATIO(planned_value_aud / 1e5, s / CAST(100 AS DOUBLE)) - planned_value_aud / 1e5, 2) AS delay_months,
+                 RND(least(planned_value_aud / 1e5 / (s / CAST(100 AS DOUBLE)), 6.0::DOUBLE) * (1.0::DOUBLE - s / CAST(100 AS DOUBLE)), 4) AS delay_in_horizon,
+                 RND(least(planned_value_aud / 1e5 / (s / CAST(100 AS DOUBLE)), 6.0::DOUBLE) * (1.0::DOUBLE - s / CAST(100 AS DOUBLE)) * 1e5, 0) AS cost_impact_aud
                  FROM fin_now, range(85, 96) r(s) WHERE status = 'amber'""",
     "q_x_22": """SELECT 'portfolio_health_score' AS measure, RND(MEAN((DEC(avg_cpi, 3) + DEC(avg_spi, 3)) * CAST(0.5 AS DECIMAL(2,1)), 4), 4) AS value FROM project_kpis
                  UNION ALL SELECT 'fleet_availability_pct', RND(MEAN(availability_pct, 1), 2) FROM fleet_kpis

@@ -165,11 +165,15 @@ EXTRA: dict[str, str] = {
     "s4_filtered_search": f"""WITH {keyword(CHUNKS, 'doc_id, chunk_no', 3,
         "WHERE lang IN ('en', 'fr') AND CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 3 = 1")} SELECT query_id, doc_id, chunk_no, score, rank FROM kw""",
     "s5_execution_match": "SELECT CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, true AS is_match",
-    "s6_eval_rollup": """SELECT run_id, evaluator, items, pass_rate_pct, target_pct, pass_rate_pct >= target_pct AS meets_target, change_pct,
+    "s6_eval_rollup": """SELECT run_id, evaluator, items, pass_rate_pct, mean_score, target_mean, target_pct,
+        COALESCE(mean_score >= target_mean, pass_rate_pct >= target_pct) AS meets_target, change_pct,
         COALESCE(change_pct < 0, false) AS is_regression
         FROM (SELECT *, CAST(CASE evaluator WHEN 'coherence' THEN 80 ELSE 100 END AS DOUBLE) AS target_pct,
+                     CASE evaluator WHEN 'coherence' THEN 4.0::DOUBLE END AS target_mean,
                      RND(pass_rate_pct - lag(pass_rate_pct) OVER (PARTITION BY evaluator ORDER BY run_id), 1) AS change_pct
-              FROM (SELECT source AS run_id, evaluator, COUNT(*) AS items, SHARE(passed) AS pass_rate_pct
-                    FROM (SELECT source, 'coherence' AS evaluator, quality = 1 AS passed FROM labels JOIN documents USING (doc_id)
-                          UNION ALL SELECT source, 'task_adherence', toxic = 0 FROM labels JOIN documents USING (doc_id)) GROUP BY 1, 2))""",
+              FROM (SELECT source AS run_id, evaluator, COUNT(*) AS items, SHARE(passed) AS pass_rate_pct, AVGR(score, 2) AS mean_score
+                    FROM (SELECT source, 'coherence' AS evaluator, quality = 1 AS passed, CASE WHEN quality = 1 THEN 5.0::DOUBLE ELSE 2.0 END AS score
+                          FROM labels JOIN documents USING (doc_id)
+                          UNION ALL SELECT source, e, toxic = 0, NULL FROM labels JOIN documents USING (doc_id), (VALUES ('task_adherence'), ('violence')) v(e))
+                    GROUP BY 1, 2))""",
 }

@@ -275,5 +275,14 @@ def forecast_duration(remaining: Colish, spi_: Colish) -> Column:
     return ratio(remaining, spi_)
 
 
-def forecast_delay(remaining: Colish, spi_: Colish) -> Column:
-    return forecast_duration(remaining, spi_) - as_col(remaining)
+def forecast_delay(remaining: Colish, spi_: Colish, horizon: float | None = None) -> Column:
+    """Periods lost if the SPI holds to the end, or for ``horizon`` periods and then is 1."""
+    spell = forecast_duration(remaining, spi_)
+    if horizon is None:
+        return spell - as_col(remaining)
+    return F.when(spell.isNotNull(), F.least(spell, F.lit(float(horizon)))) * (1.0 - as_col(spi_))
+
+
+def forecast_cost(delay: Colish, spend_per_period: Colish) -> Column:
+    """Our definition: lost periods cost the planned spend of a period each."""
+    return as_col(delay) * as_col(spend_per_period)

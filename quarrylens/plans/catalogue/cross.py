@@ -404,9 +404,14 @@ def red_sites(t: Tables, division: str = "ASIA", statuses: tuple[str, ...] = ("r
 
 
 @query("q_x_21", "SPI sensitivity: delay if SPI ran between 0.85 and 0.95")
-def spi_sensitivity(t: Tables, low: int = 85, high: int = 95) -> DataFrame:
-    """Our definition: months left / SPI - months left; the grid is a fixed array per project."""
-    left = F.col("planned_value_aud") / 1e5
+def spi_sensitivity(t: Tables, low: int = 85, high: int = 95, horizon: float = 6.0, monthly_spend: float = 1e5) -> DataFrame:
+    """Our definition: months left / SPI - months left; the grid is a fixed array per project.
+
+    Beside the delay to the end: delay and cost if the SPI holds for ``horizon`` months only.
+    """
+    left = F.col("planned_value_aud") / monthly_spend
+    spi = F.col("_spi") / 100.0
+    lost = rules.forecast_delay("_left", spi, horizon)
     grid = F.explode(F.sequence(F.lit(low), F.lit(high))).alias("_spi")
     return (
         latest_snapshot(t["financials"])
@@ -415,7 +420,9 @@ def spi_sensitivity(t: Tables, low: int = 85, high: int = 95) -> DataFrame:
         .select(
             "project_id",
             (F.col("_spi") / 100.0).alias("assumed_spi"),
-            rnd(rules.forecast_delay("_left", F.col("_spi") / 100.0), 2).alias("delay_months"),
+            rnd(rules.forecast_delay("_left", spi), 2).alias("delay_months"),
+            rnd(lost, 4).alias("delay_in_horizon"),
+            rnd(rules.forecast_cost(lost, F.lit(monthly_spend)), 0).alias("cost_impact_aud"),
         )
     )
 

@@ -482,12 +482,19 @@ def match(t: Tables) -> DataFrame:
 
 @demo("s6_eval_rollup")
 def evaluation(t: Tables) -> DataFrame:
-    """Document labels as two evaluators, document sources as runs."""
+    """Document labels as three evaluators, one of them with scores; document sources as runs."""
     judged = t["labels"].join(t["documents"].select("doc_id", "source"), "doc_id")
     both = F.explode(
         F.array(
-            F.struct(F.lit("coherence").alias("evaluator"), (F.col("quality") == 1).alias("passed")),
-            F.struct(F.lit("task_adherence").alias("evaluator"), (F.col("toxic") == 0).alias("passed")),
+            F.struct(
+                F.lit("coherence").alias("evaluator"),
+                (F.col("quality") == 1).alias("passed"),
+                F.when(F.col("quality") == 1, 5.0).otherwise(2.0).alias("score"),
+            ),
+            *[
+                F.struct(F.lit(name).alias("evaluator"), (F.col("toxic") == 0).alias("passed"), F.lit(None).cast("double").alias("score"))
+                for name in ("task_adherence", "violence")
+            ],
         )
     )
     scores = judged.select(F.col("source").alias("run_id"), both.alias("e")).select("run_id", "e.*")

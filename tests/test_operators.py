@@ -174,3 +174,11 @@ def test_rank_fusion(spark):
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, doc_id int, rank int")
     got = [(r["doc_id"], r["rank"]) for r in retrieval.fuse_ranks(a, b, 3, ["doc_id"]).orderBy("rank").collect()]
     assert got == [(11, 1), (10, 2), (12, 3)]
+
+
+def test_eval_rollup_by_mean_score(spark):
+    rows = [("r1", "coherence", False, 4.5), ("r1", "coherence", True, 3.5), ("r2", "coherence", True, 3.0), ("r1", "violence", True, None)]
+    rows += [("r2", "violence", True, None), ("r2", "violence", False, None)]
+    scores = spark.createDataFrame(rows, "run_id string, evaluator string, passed boolean, score double")
+    out = {(r["run_id"], r["evaluator"]): r["meets_target"] for r in eval_rollup(scores).collect()}
+    assert out == {("r1", "coherence"): True, ("r2", "coherence"): False, ("r1", "violence"): True, ("r2", "violence"): False}
