@@ -16,18 +16,6 @@ from pyspark.sql import functions as F
 from quarrylens.functions.numeric import Colish, as_col
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Broadcast hint only when the planner's size estimate is within its own broadcast limit.
-
-    Beyond the limit (or with broadcasting switched off) the frame comes back unhinted and
-    Spark plans a shuffled join.
-    """
-    session = df.sparkSession
-    limit = session._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return F.broadcast(df) if 0 <= size <= limit else df
-
-
 def join_left_agg(a: DataFrame, aggregates: Sequence[DataFrame], on: Sequence[str]) -> DataFrame:
     """Left join pre-aggregated sides, each unique on ``on``: row counts do not change."""
     return reduce(lambda acc, b: acc.join(b, list(on), "left"), aggregates, a)

@@ -14,15 +14,6 @@ from quarrylens.functions.numeric import ratio, rnd
 WORDS = r"[^\p{L}\p{N}]+"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out to all cores when the input has fewer splits than there are cores.
-
-    Splitting words is CPU-bound; large inputs have many splits and pass unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def sections(docs: DataFrame, heading: str = r"(?m)^(?=#{1,6} )", id_col: str = "doc_id") -> DataFrame:
     """One row per headed section (the whole text when there is no heading)."""
     return docs.select(id_col, F.posexplode(F.split("text", heading)).alias("section", "text")).filter(F.length("text") > 0)

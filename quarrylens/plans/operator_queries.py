@@ -431,7 +431,7 @@ def headed(t: Tables) -> DataFrame:
 
 
 def _documents(t: Tables) -> DataFrame:
-    return retrieval.spread(t["documents"].select("doc_id", "text"))
+    return t["documents"].select("doc_id", "text")
 
 
 @demo("s2_keyword_topk")

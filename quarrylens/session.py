@@ -13,6 +13,11 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A skewed join is split even where the rows must be dealt anew behind it.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # State of streams lives on disk with a changelog, not on the executors' heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Idle sessions of one vehicle are merged inside each task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     "spark.ui.enabled": "false",

@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import dec, rnd
 from quarrylens.functions.predicates import label
-from quarrylens.operators.joins import broadcast_if_small
 from quarrylens.operators.latest import dedup_latest
 from quarrylens.sources.tables import Tables
 
@@ -74,8 +73,8 @@ def sites(t: Tables) -> DataFrame:
 
 
 def site_lookup(t: Tables) -> DataFrame:
-    """Sites for joins: sent to the tasks while they are few, shuffled otherwise."""
-    return broadcast_if_small(t["sites"])
+    """Sites for joins; the planner sends them to the tasks while they are within its limit."""
+    return t["sites"]
 
 
 def site_events(t: Tables) -> DataFrame:

@@ -52,12 +52,6 @@ def test_fan_out_never_pairs_rows(spark):
     assert [r["_pairs"] for r in plan.collect()] == [250_000, 250_000]
 
 
-def test_broadcast_only_below_the_limit(spark):
-    small_side, big_side = spark.range(10), spark.range(100_000_000)
-    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(joins.broadcast_if_small(small_side)) and not hinted(joins.broadcast_if_small(big_side))
-
-
 def test_ties_survive_and_nulls_do_not(spark):
     df = spark.createDataFrame([("a", 2, 1), ("a", 2, 2), ("a", 1, 3), ("b", None, 4), (None, 5, 5)], "k string, t int, v int")
     assert sorted(r["v"] for r in latest_with_ties(df, ["k"], "t").collect()) == [1, 2]
