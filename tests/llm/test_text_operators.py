@@ -228,8 +228,7 @@ def test_lm_gradients():
         slots = model.slot[windows[:, : lm.WINDOW]]
         last = slots[:, lm.WINDOW - lm.STEP :]
         query, key, value = model.tables()
-        offset = w["offset"][np.maximum(lm._BACK, 0)] + lm._HIDDEN
-        logits = np.matmul(lm._attend(query[last], key[slots], offset), value[slots]) + w["next"][last]
+        logits = np.matmul(lm._attend(query[last], key[slots], lm._offsets(model)), value[slots]) + w["next"][last]
         group = model.group[windows[:, lm.WINDOW - lm.STEP + 1 :]]
         picked = np.take_along_axis(logits, group[:, :, None], 2)[:, :, 0]
         return (np.log(np.exp(logits).sum(2)) - picked).mean()
