@@ -40,6 +40,8 @@ RANGE_BYTES = 8 << 20
 # Ranges that even a small input is cut into.
 LEAST_RANGES = 128
 SAMPLE_KEYS = 1 << 16
+# Above the size of any surrounding.
+_SIZE = 1 << 24
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x2545F4914F6CDD1D
@@ -379,7 +381,7 @@ def _repeats(docs: DataFrame, splitters: np.ndarray, length: int, gram: int) ->
             begin, end = np.maximum(0, at - side), np.minimum(sizes[doc], at + length)
             cut = np.lib.stride_tricks.sliding_window_view(data, width)[offset[doc] + begin]
             cut = np.where(np.arange(width) < (end - begin)[:, None], cut, 0).astype(np.uint8)
-            owner, shape = ids[doc], (at - begin) * 256 + end - begin
+            owner, shape = ids[doc], (at - begin) * _SIZE + end - begin
             order, new = _equal_rows(cut, shape, owner)
             # In a run of equal surroundings: the smallest id travels, the others are repeats.
             which = np.cumsum(new) - 1
@@ -463,7 +465,7 @@ def compare(
     to single strings: those with a hash of their own cannot repeat, the rest are sorted by their
     bytes, 8 at a time, and neighbours compared.
     """
-    size = shape % 256
+    size = shape % _SIZE
     order, new = _equal_rows(cut, shape, owner)
     which = np.cumsum(new) - 1
     heads = order[new]

@@ -406,3 +406,13 @@ def test_repeats_short_length_and_empty(spark):
     out = suffixes.remove_repeats(frame(spark, rows), length=6, gram=3).collect()
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == brute_repeats(named(rows), 6)
     assert suffixes.remove_repeats(frame(spark, [])).count() == 0
+
+
+def test_repeats_around_common_phrases(spark):
+    rng = np.random.default_rng(6)
+    phrase = "this phrase of about sixty bytes stands in very many of them"
+    filler = ["".join(chr(97 + c) for c in rng.integers(0, 26, 70)) for _ in range(60)]
+    rows = [doc(i, filler[i] + phrase[: 20 + i] + filler[(i * 7) % 60] + phrase) for i in range(60)]
+    rows += [doc(100 + i, filler[i % 60][30:] + phrase[5:] + filler[i % 9][:40] + phrase * 2) for i in range(90)]
+    out = suffixes.remove_repeats(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in out) == brute_repeats(named(rows))
