@@ -182,6 +182,17 @@ def test_lm_base_counts(spark):
     assert lm.score_documents(frame(spark, []), PATH).count() == 0
 
 
+def test_lm_score_mixes_the_share_of_every_known_word(spark):
+    rows = [doc(i, "alpha " * 5 + f"beta gamma once{i} \u0301") for i in range(12)] + [doc(50, "\x01 new\x02 alpha once3")]
+    want = {r.doc_id: r.score for r in lm.score_documents(frame(spark, rows), PATH).collect()}
+    old, lm.FREQUENT = lm.FREQUENT, 3
+    try:
+        few = {r.doc_id: r.score for r in lm.score_documents(frame(spark, rows), PATH).collect()}
+    finally:
+        lm.FREQUENT = old
+    assert few == pytest.approx(want, abs=1e-6)
+
+
 def tiny_model(seed=0):
     rng = np.random.default_rng(seed)
     windows = rng.integers(0, 300, (64, lm.WINDOW + 1))
