@@ -215,6 +215,15 @@ def test_lm_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-3) or len(every) < lm.CLASSES
 
 
+def test_lm_tells_common_ids_apart():
+    # Each of 200 ids is followed by one other; classes of several ids could not say which.
+    order = np.random.default_rng(1).permutation(200)
+    cycle = np.tile(order, 20)
+    windows = np.stack([cycle[i : i + lm.WINDOW + 1] for i in range(0, 3200, 16)])
+    model = lm.fit(windows, np.bincount(cycle, minlength=49408), np.arange(49408) % 2 == 0, passes=1)
+    assert lm.sequence_scores(model, [cycle[7:207]])[1:].mean() > -0.3
+
+
 def test_lm_scores_are_causal_and_batch_free():
     model = tiny_model()
     rng = np.random.default_rng(2)
