@@ -224,6 +224,33 @@ def test_lm_tells_common_ids_apart():
     assert lm.sequence_scores(model, [cycle[7:207]])[1:].mean() > -0.3
 
 
+def test_lm_trains_on_windows_of_all_rows(spark):
+    rows = [doc(i, f"only {i} words") for i in range(3300)] + [doc(5000, "long text " * 400)]
+    frame_ = frame(spark, rows).selectExpr("doc_id", "cast(text as binary) as body")
+    encoded = lm._encoded(frame_, PATH)
+    total = encoded.selectExpr("sum(windows)").first()[0]
+    found = [np.frombuffer(r.ids, "<i4") for r in lm.training_windows(encoded, 1.0, 4).collect()]
+    assert len(found) == total > 3301
+    # Short texts and last windows are there, and every id is a target once.
+    targets = sum(int((w[lm.WINDOW - lm.STEP + 1 :] >= 0).sum()) for w in found)
+    assert targets == encoded.selectExpr("sum(length(ids)) div 4").first()[0]
+    half = lm.training_windows(encoded, 0.5, 4).count()
+    assert 0.4 * total < half < 0.6 * total
+    # The neighbours of all texts are counted.
+    assert lm._counted(encoded, lambda line: np.zeros(int((line[1:] >= 0).sum()), np.int64), 1)[0] == targets + len(rows)
+
+
+def test_lm_missing_targets_have_no_gradient():
+    model = tiny_model()
+    windows = np.random.default_rng(5).integers(0, 300, (3, lm.WINDOW + 1))
+    windows[1, 25:] = -1
+    together = lm._gradients(model, windows)
+    alone = [(int((w[lm.WINDOW - lm.STEP + 1 :] >= 0).sum()), lm._gradients(model, w[None])) for w in windows]
+    assert [n for n, _ in alone] == [16, 8, 16]
+    for name, grad in together.items():
+        assert np.allclose(grad, sum(n * g[name] for n, g in alone) / 40, atol=1e-6), name
+
+
 def test_lm_scores_are_causal_and_batch_free():
     model = tiny_model()
     rng = np.random.default_rng(2)
