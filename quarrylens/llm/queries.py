@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import decontaminate, embeddings, lines, lm, packing, quality, simhash, suffixes, url_filter, warc
+from quarrylens.llm import decontaminate, embeddings, lines, lm, packing, quality, simhash, suffixes, url_filter, variants, warc
 from quarrylens.llm.common import table
 from quarrylens.session import work_dir
 
@@ -78,6 +78,10 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_simhash,
         op10_suffixes,
+        op11_variants,
     )
 }
 ORACLES: dict[str, str] = {"op1_decontaminate": decontaminate.ORACLE, "op6_line_dedup": lines.ORACLE}
