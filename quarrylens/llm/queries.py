@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylens.llm import collocations, decontaminate, embeddings, lines, lm, packing, quality, simhash, suffixes, url_filter, variants, warc
+from quarrylens.llm import collocations, decontaminate, embeddings, lines, lm, packing, pii, quality, simhash, suffixes, url_filter, variants, warc
 from quarrylens.llm.common import table
 from quarrylens.session import work_dir
 
@@ -82,6 +82,10 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(table(spark, sf_dir, "documents"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -99,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_simhash,
         op10_suffixes,
         op11_variants,
+        op12_pii,
         op13_collocations,
     )
 }
