@@ -35,8 +35,9 @@ NO_LANG = "und"
 SHARD_BYTES = 8 << 20
 # Bits of the table of frequent words or pairs: 8 MB, whatever the corpus.
 BITS = 1 << 26
-# Words of the corpus for each prefix range.
-RANGE_WORDS = 1 << 21
+# Prefix ranges, and words of the corpus for each of them beyond that.
+RANGES = 64
+RANGE_WORDS = 1 << 24
 # N-grams that a range gathers before it takes their union.
 HELD = 1 << 20
 # A byte that no UTF-8 text holds stands between pieces.
@@ -230,12 +231,15 @@ def _frequent_bits(counts: DataFrame, level: int) -> np.ndarray:
     return out
 
 
-LOOKUP_SCHEMA = "lang string, part int, query binary, starts array<bigint>, phrase array<string>, a array<bigint>, k array<int>, head array<boolean>"
+LOOKUP_SCHEMA = "lang string, part int, level int, query binary, starts array<bigint>, phrase array<string>, a array<bigint>, k array<int>, head array<boolean>"
 PART_SCHEMA = "lang string, phrase string, a bigint, k int, head boolean, f bigint"
 
 
 def _lookups(counts: DataFrame, ranges: int) -> DataFrame:
-    """For each candidate and cut, both parts: transducers from part to a row of (phrase, a, k, side), by range."""
+    """For each candidate and cut, both parts: transducers from part to a row of (phrase, a, k, side).
+
+    They go to the range of the part and to the level (words, pairs, longer) that counts it.
+    """
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,6 +266,7 @@ def _lookups(counts: DataFrame, ranges: int) -> DataFrame:
                 order = order_of(part, len(counted.labels))
                 part, row, cut, head = part[order], row[order], cut[order], head[order]
                 target = _range_of(_prefix(_hashes(lang, counted.labels), part), ranges)
+                target = 4 * target + np.minimum((part >= 0).sum(1), 3)
                 for one in np.unique(target).tolist():
                     at = np.flatnonzero(target == one)
                     # Equal parts are one question with several askers.
@@ -272,7 +277,8 @@ def _lookups(counts: DataFrame, ranges: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang], pa.string()),
-                            pa.array([one], pa.int32()),
+                            pa.array([one // 4], pa.int32()),
+                            pa.array([one % 4], pa.int32()),
                             pa.array([query.to_bytes()], pa.binary()),
                             pa.array([starts.tolist()], pa.list_(pa.int64())),
                             pa.array([phrases[asked].tolist()], pa.list_(pa.string())),
@@ -280,7 +286,7 @@ def _lookups(counts: DataFrame, ranges: int) -> DataFrame:
                             pa.array([cut[at].tolist()], pa.list_(pa.int32())),
                             pa.array([head[at].tolist()], pa.list_(pa.bool_())),
                         ],
-                        names=["lang", "part", "query", "starts", "phrase", "a", "k", "head"],
+                        names=["lang", "part", "level", "query", "starts", "phrase", "a", "k", "head"],
                     )
 
     return counts.select("lang", "counts").mapInArrow(ask, LOOKUP_SCHEMA)
@@ -312,7 +318,7 @@ def _answers(lookups: DataFrame, counts: DataFrame) -> DataFrame:
                     names=["lang", "phrase", "a", "k", "head", "f"],
                 )
 
-    joined = lookups.join(counts, ["lang", "part"]).select("lang", "query", "starts", "phrase", "a", "k", "head", "counts")
+    joined = lookups.join(counts, ["lang", "part", "level"]).select("lang", "query", "starts", "phrase", "a", "k", "head", "counts")
     return joined.mapInArrow(answer, PART_SCHEMA)
 
 
@@ -337,11 +343,12 @@ def collocations(
     """
     shards = stored(word_shards(docs, text_col, lang_col), "phrase-shards")
     words = shards.agg(F.sum("n").alias("n")).first()["n"] or 0
-    ranges = 1 + words // RANGE_WORDS
+    ranges = max(RANGES, words // RANGE_WORDS)
     single = _level(shards, 1, ranges, min_count, None)
     pairs = _level(shards, 2, ranges, min_count, _frequent_bits(single, 1))
     longer = _level(shards, 3, ranges, min_count, _frequent_bits(pairs, 2))
-    every = single.unionByName(pairs).unionByName(longer)
+    levels = [df.withColumn("level", F.lit(i)) for i, df in enumerate((single, pairs, longer), 1)]
+    every = levels[0].unionByName(levels[1]).unionByName(levels[2])
     parts = stored(_answers(_lookups(pairs.unionByName(longer), ranges), every), "phrase-parts")
     cuts = parts.groupBy("lang", "phrase", "k").agg(
         F.max("a").alias("a"), F.max(F.when(F.col("head"), F.col("f"))).alias("l"), F.max(F.when(~F.col("head"), F.col("f"))).alias("r")

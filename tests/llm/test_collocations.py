@@ -64,7 +64,7 @@ def test_best_and_ranges(spark, monkeypatch):
     """More prefix ranges, early unions and a full bit table change nothing."""
     rows = documents()
     want = brute([(r[2], r[1]) for r in rows], 3, 7)
-    monkeypatch.setattr(collocations, "RANGE_WORDS", 500)
+    monkeypatch.setattr(collocations, "RANGE_WORDS", 50)
     monkeypatch.setattr(collocations, "_frequent_bits", lambda counts, level: np.full(collocations.BITS // 8, 255, np.uint8))
     assert found(collocations.collocations(frame(spark, rows), min_count=3, best=7)) == want
 
