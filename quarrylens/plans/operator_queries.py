@@ -25,7 +25,7 @@ from quarrylens.sources.derived import DELIVERY_ORDER, VIEWS, derived_tables
 from quarrylens.sources.landing import BAD_COLUMNS, as_text, conform
 from quarrylens.sources.schemas import SUPPLIER_INVOICES, schema
 from quarrylens.sources.tables import Tables
-from quarrylens.streaming import jobs
+from quarrylens.streaming import jobs, products
 
 DEMOS = {}
 LOADED_AT = datetime(2001, 7, 1)
@@ -335,8 +335,9 @@ def j3(spark: SparkSession, folder: str) -> DataFrame:
     _, root = _landing(spark, folder, "upsert")
     source = jobs.read_stream(spark, f"{root}/landing/*/*.csv", "csv", SUPPLIER_INVOICES, files_per_trigger=4)
     keys, order = ["site", "payment_status"], ["invoice_date", F.col("invoice_id").cast("bigint")]
-    jobs.run_to_end(jobs.stream_upsert_latest(source, f"{root}/log", keys, order, f"{root}/checkpoint"))
-    return jobs.read_latest(spark, f"{root}/log", keys, order).select(*keys, "invoice_id", "invoice_date", "total_aud")
+    query, table = jobs.stream_upsert_latest(source, f"{root}/table", keys, order, f"{root}/checkpoint", buckets=2)
+    jobs.run_to_end(query)
+    return table.read().select(*keys, "invoice_id", "invoice_date", "total_aud")
 
 
 @stream("j2_stream_dedup")
@@ -372,26 +373,45 @@ def j6(spark: SparkSession, folder: str) -> DataFrame:
 
 @stream("j7_stream_latest")
 def j7(spark: SparkSession, folder: str) -> DataFrame:
-    t = stream_tables(spark, folder)
-    readings = t["telemetry"].select("equipment_id", "site_name", "status", "engine_temp_celsius", "reading_timestamp")
-    root = work_dir(spark, "latest")
-    jobs.run_to_end(
-        jobs.stream_latest(readings, f"{root}/log", ["equipment_id"], ["reading_timestamp", "status", "engine_temp_celsius"], f"{root}/checkpoint")
+    """Newest reading per unit over four micro-batches in no order of time, the last of them after a restart."""
+    readings = derived_tables(spark, folder)["telemetry"].select(
+        "equipment_id", "site_name", "status", "engine_temp_celsius", F.col("reading_timestamp").cast("timestamp")
     )
-    newest = jobs.read_latest(spark, f"{root}/log", ["equipment_id"], ["reading_timestamp", "status", "engine_temp_celsius"])
-    return _naive(newest, "reading_timestamp")
+    root = work_dir(spark, "latest")
+    batch = F.pmod(F.xxhash64("equipment_id", "reading_timestamp", "engine_temp_celsius"), F.lit(4))
+    order = ["reading_timestamp", "status", "engine_temp_celsius"]
+    for chosen in (batch < 3, batch == 3):
+        readings.where(chosen).withColumn("batch", batch).repartition(4, "batch").drop("batch").write.mode("append").parquet(f"{root}/readings")
+        source = jobs.read_stream(spark, f"{root}/readings", "parquet", readings.schema, files_per_trigger=1)
+        query, table = jobs.stream_latest(source, f"{root}/table", ["equipment_id"], order, f"{root}/checkpoint", buckets=2)
+        jobs.run_to_end(query)
+    return _naive(table.read(), "reading_timestamp")
 
 
 @stream("j8_stream_refresh_mv")
 def j8(spark: SparkSession, folder: str) -> DataFrame:
-    """Deliveries streamed from a written clean table into partials, then merged."""
+    """Deliveries streamed over several micro-batches: every row twice, every seventh first in a wrong form."""
     t = derived_tables(spark, folder)
     root = work_dir(spark, "mv")
-    rows = t["silver_deliveries"].select("supplier", "destination_site", "material", "po_number", "total_cost", "is_damaged", "cost_validated")
-    rows.write.parquet(f"{root}/clean")
-    source = jobs.read_stream(spark, f"{root}/clean", "parquet", rows.schema, files_per_trigger=4)
-    jobs.run_to_end(jobs.stream_refresh_mv(source, f"{root}/mv", f"{root}/checkpoint"))
-    return jobs.read_delivery_mv(spark, f"{root}/mv")
+    rows = t["silver_deliveries"].select(products.ID, *products.COUNTED, F.lit(2).alias("version"))
+    wrong = rows.withColumns(
+        {
+            "version": F.lit(1),
+            "total_cost": F.col("total_cost") * 2 + 1,
+            "material": F.lit("unknown"),
+            "is_damaged": ~F.col("is_damaged"),
+            "destination_site": F.when(F.length(products.ID) % 2 == 0, F.lit("elsewhere")).otherwise(F.col("destination_site")),
+        }
+    )
+    seventh = F.pmod(F.xxhash64(products.ID), F.lit(7)) == 0
+    first = rows.where(~seventh).unionByName(wrong.where(seventh))
+    product = products.DeliveryPerformance(spark, f"{root}/product", rows.schema, ["version"], buckets=2)
+    # The corrections, then both once more: repeated rows and outdated ones change nothing.
+    for part in (first, rows.where(seventh), first.unionByName(rows.where(seventh))):
+        part.write.mode("append").parquet(f"{root}/clean")
+        source = jobs.read_stream(spark, f"{root}/clean", "parquet", rows.schema, files_per_trigger=16)
+        jobs.run_to_end(product.refresh(source, f"{root}/checkpoint"))
+    return product.read()
 
 
 @stream("j9_stream_enrich")

@@ -1,14 +1,14 @@
 """Incremental forms of the batch steps.
 
 Sinks are file logs written per micro-batch under ``_batch=<id>`` in overwrite mode, so a
-batch that is retried after a failure replaces itself.  Keyed results are merged when read
-(newest row per key, or sums of partials); :func:`compact` folds a log into one batch.
+batch that is retried after a failure replaces itself.  Windowed results are merged when read
+(newest row per key); unbounded keyed results live in a :class:`KeyedTable`.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,9 +16,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from quarrylens.functions import aggs, rules
-from quarrylens.functions.numeric import as_col, Colish, dec, exact, pct, ratio, rnd
+from quarrylens.functions.numeric import Colish, exact, pct, ratio, rnd
 from quarrylens.operators.latest import dedup_latest
 from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, with_ingest_meta
+from quarrylens.streaming.keyed import KeyedTable
+from quarrylens.streaming.latest_state import newest_rows
 
 
 def read_stream(spark: SparkSession, path: str, fmt: str, schema: T.StructType, files_per_trigger: int | None = None) -> DataFrame:
@@ -68,11 +70,6 @@ def read_latest(spark: SparkSession, path: str, keys: Sequence[str], order: Sequ
     return dedup_latest(read_log(spark, path), keys, [*order, "_batch"]).drop("_batch")
 
 
-def compact(spark: SparkSession, path: str, target: str, keys: Sequence[str], order: Sequence[Colish] = ()) -> None:
-    """Fold a log into one batch of a new log; the old one stays until nobody reads it."""
-    read_latest(spark, path, keys, order).write.mode("overwrite").parquet(f"{target}/_batch=-1")
-
-
 # --- ingest -----------------------------------------------------------------
 
 
@@ -111,12 +108,34 @@ def stream_dedup(df: DataFrame, keys: Sequence[str], event_time: str, delay: str
     return df.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
-def stream_upsert_latest(df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Colish], checkpoint: str) -> StreamingQuery:
-    """Keep-latest across batches: each batch is reduced to one row per key and logged."""
-    return write_log(df, path, checkpoint, shape=lambda batch: dedup_latest(batch, keys, order))
+def into_table(df: DataFrame, table: KeyedTable, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Commit each micro-batch to a keyed table; processes what is there and stops."""
+    return df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(table.append).start()
+
+
+def stream_upsert_latest(
+    df: DataFrame, path: str, keys: Sequence[str], order: Sequence[Colish], checkpoint: str, buckets: int = 8
+) -> tuple[StreamingQuery, KeyedTable]:
+    """Keep-latest across batches, in a keyed table that folds itself."""
+    table = KeyedTable(df.sparkSession, path, df.schema, tuple(keys), tuple(order), buckets=buckets)
+    return into_table(df, table, checkpoint), table
 
 
-stream_latest = stream_upsert_latest
+def stream_latest(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    order: Sequence[str],
+    checkpoint: str,
+    event_time: str | None = None,
+    delay: str | None = None,
+    silent_for: timedelta | None = None,
+    buckets: int = 8,
+) -> tuple[StreamingQuery, KeyedTable]:
+    """Newest row per key from operator state; only changes reach the table."""
+    changes = newest_rows(df, keys, order, event_time, delay, silent_for)
+    table = KeyedTable(df.sparkSession, path, changes.schema, tuple(keys), tuple(order), buckets=buckets)
+    return into_table(changes, table, checkpoint, "update"), table
 
 
 # --- windows ----------------------------------------------------------------
@@ -197,74 +216,6 @@ def stream_idle_sessions(positions: DataFrame, delay: str, gap: str = "15 minute
     )
 
 
-# --- incremental products ---------------------------------------------------
-
-DELIVERY_KEYS = ("supplier", "destination_site")
-
-
-def delivery_partials(batch: DataFrame) -> DataFrame:
-    """Additive part of delivery performance."""
-    return batch.groupBy(*DELIVERY_KEYS).agg(
-        aggs.n_rows().alias("n"),
-        F.sum(dec("total_cost", 4)).alias("spend"),
-        F.count("total_cost").alias("n_cost"),
-        aggs.count_where(F.col("is_damaged")).alias("damaged"),
-        aggs.count_where(~F.col("cost_validated")).alias("discrepancies"),
-    )
-
-
-def delivery_members(batch: DataFrame) -> DataFrame:
-    """Distinct materials and orders of a batch: counting distinct values needs the values."""
-    pairs = F.explode(
-        F.array(
-            F.struct(F.lit("material").alias("kind"), F.col("material").alias("member")),
-            F.struct(F.lit("po").alias("kind"), F.col("po_number").alias("member")),
-        )
-    )
-    return batch.select(*DELIVERY_KEYS, pairs.alias("p")).select(*DELIVERY_KEYS, "p.kind", "p.member").distinct()
-
-
-def stream_refresh_mv(deliveries: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Maintain delivery performance from a stream of new (already unique) deliveries."""
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        delivery_partials(batch).write.mode("overwrite").parquet(f"{path}/partials/_batch={batch_id}")
-        delivery_members(batch).write.mode("overwrite").parquet(f"{path}/members/_batch={batch_id}")
-
-    return (
-        deliveries.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
-    )
-
-
-def read_delivery_mv(spark: SparkSession, path: str) -> DataFrame:
-    """Merge the partials of every batch into the data product."""
-    sums = read_log(spark, f"{path}/partials").groupBy(*DELIVERY_KEYS).agg(
-        *[F.sum(c).alias(c) for c in ("n", "spend", "n_cost", "damaged", "discrepancies")]
-    )
-    members = read_log(spark, f"{path}/members").groupBy(*DELIVERY_KEYS).agg(
-        F.countDistinct(F.when(F.col("kind") == "material", F.col("member"))).alias("unique_materials"),
-        F.countDistinct(F.when(F.col("kind") == "po", F.col("member"))).alias("unique_pos"),
-    )
-    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"m.{k}")) for k in DELIVERY_KEYS]
-    return sums.alias("s").join(members.alias("m"), same).select(
-        *[f"s.{k}" for k in DELIVERY_KEYS],
-        F.col("n").alias("total_deliveries"),
-        F.col("spend").cast("double").alias("total_spend_aud"),
-        rnd(ratio("spend", "n_cost"), 2).alias("avg_delivery_cost_aud"),
-        F.col("damaged").alias("damaged_deliveries"),
-        rnd(pct("damaged", "n"), 1).alias("damage_rate_pct"),
-        F.col("discrepancies").alias("cost_discrepancies"),
-        "unique_materials",
-        "unique_pos",
-    )
-
-
 def stream_enrich(df: DataFrame, static: DataFrame, on: str | Sequence[str] | Column, how: str = "left") -> DataFrame:
     """Stream joined to a static table; Spark broadcasts it when its size allows."""
     return df.join(static, on, how)
-
-
-def newest_by(df: DataFrame, keys: Sequence[str], order: Colish) -> DataFrame:
-    """Running newest row per key inside a stream (update or complete mode)."""
-    rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), as_col(order)).alias("_r")).select(*keys, "_r.*")

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from quarrylens.operators.evaluate import execution_match
 from quarrylens.plans import gold
-from quarrylens.sources import schemas
-from quarrylens.streaming import jobs
+from quarrylens.sources import files, schemas
+from quarrylens.streaming import jobs, products
+from quarrylens.streaming.keyed import KeyedTable
+from quarrylens.streaming.latest_state import newest_rows
 
 SCHEMA = schemas.schema("k string, v int, at timestamp")
 
@@ -37,8 +39,8 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert rows[1]["_source_file"].endswith("b2/feed/a.csv")
 
 
-def test_upsert_latest_and_compaction(spark, tmp_path):
-    src, log, ckpt = (str(tmp_path / n) for n in ("src", "log", "ckpt"))
+def test_upsert_latest(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / n) for n in ("src", "table", "ckpt"))
     batches = [
         [("a", 1, "2025-01-01 00:00:00"), ("a", 2, "2025-01-02 00:00:00"), ("b", 1, "2025-01-01 00:00:00")],
         [("a", 3, "2024-12-31 00:00:00"), ("b", 9, "2025-01-05 00:00:00"), ("c", 4, "2025-01-01 00:00:00")],
@@ -46,11 +48,79 @@ def test_upsert_latest_and_compaction(spark, tmp_path):
     for rows in batches:
         put(spark, src, "x", rows)
         stream = jobs.read_stream(spark, src, "parquet", SCHEMA)
-        jobs.run_to_end(jobs.stream_upsert_latest(stream, log, ["k"], ["at", "v"], ckpt))
-    want = {"a": 2, "b": 9, "c": 4}
-    assert {r["k"]: r["v"] for r in jobs.read_latest(spark, log, ["k"], ["at", "v"]).collect()} == want
-    jobs.compact(spark, log, str(tmp_path / "small"), ["k"], ["at", "v"])
-    assert {r["k"]: r["v"] for r in jobs.read_log(spark, str(tmp_path / "small")).collect()} == want
+        query, table = jobs.stream_upsert_latest(stream, path, ["k"], ["at", "v"], ckpt)
+        jobs.run_to_end(query)
+    assert {r["k"]: r["v"] for r in table.read().collect()} == {"a": 2, "b": 9, "c": 4}
+
+
+KEYED = schemas.schema("k string, v int")
+
+
+def keyed(spark, path, **more):
+    return KeyedTable(spark, str(path), KEYED, ("k",), ("v",), buckets=1, **more)
+
+
+def contents(df):
+    return {r["k"]: r["v"] for r in df.collect()}
+
+
+def test_fifty_batches_stay_few_files(spark, tmp_path):
+    table, want = keyed(spark, tmp_path / "t"), {}
+    for i in range(50):
+        rows = [("hot", i), (f"k{i % 7}", 100 - i), (None, i)]
+        for k, v in rows:
+            want[k] = max(v, want.get(k, v))
+        table.append(spark.createDataFrame(rows, KEYED), i)
+    # 50 is 302 in base 4: three segments of sixteen batches, none of four, two of one.
+    assert [s.level for s in table.manifest().segments].count(2) == 3 and len(table.manifest().segments) == 5
+    assert len(table.read().inputFiles()) <= 9
+    assert len(files.names(spark, f"{table.path}/segments")) <= 3 * table.keep
+    assert contents(table.read()) == want
+    # A batch that is delivered again changes nothing.
+    table.append(spark.createDataFrame([("hot", 1000)], KEYED), 49)
+    assert contents(table.read()) == want
+
+
+def test_crash_between_fold_and_switch(spark, tmp_path, monkeypatch):
+    table = keyed(spark, tmp_path / "t", fan=2)
+    put_one = lambda i: table.append(spark.createDataFrame([("a", i), (f"k{i}", i)], KEYED), i)
+    put_one(0)
+    commit = KeyedTable._commit
+
+    def lost(self, new):
+        if any(s.level for s in new.segments):
+            raise OSError("lost")
+        return commit(self, new)
+
+    monkeypatch.setattr(KeyedTable, "_commit", lost)
+    with pytest.raises(OSError):
+        put_one(1)
+    # The folded segment is there, the manifest does not name it: readers see both batches.
+    assert contents(table.read()) == {"a": 1, "k0": 0, "k1": 1}
+    monkeypatch.undo()
+    put_one(1)
+    put_one(2)
+    assert contents(table.read()) == {"a": 2, "k0": 0, "k1": 1, "k2": 2}
+    assert [s.level for s in table.manifest().segments] == [1, 0]
+
+
+def test_manifest_is_never_replaced(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    table.append(spark.createDataFrame([("a", 1)], KEYED), 0)
+    with pytest.raises(Exception, match="exists"):
+        files.put_new(spark, table._manifest_path(1), "{}", str(tmp_path / "draft"))
+    # A reader that began earlier still finds its version.
+    before = table.manifest()
+    table.append(spark.createDataFrame([("a", 2)], KEYED), 1)
+    assert contents(table.read(upto=0)) == {"a": 1} and table.manifest(upto=0) == before
+
+
+def test_sums_and_lookup(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), KEYED, ("k",), sums=("v",), fan=2)
+    for i, rows in enumerate(([("a", 1), ("b", 2), (None, 3)], [("a", 4), ("b", -2)], [("a", -1), (None, 1)])):
+        table.append(spark.createDataFrame(rows, KEYED), i)
+    assert contents(table.read()) == {"a": 4, None: 4}
+    assert contents(table.lookup(spark.createDataFrame([(None,), ("b",)], "k string"))) == {None: 4}
 
 
 def test_watermark_drops_late_rows(spark, tmp_path):
@@ -69,16 +139,90 @@ def test_watermark_drops_late_rows(spark, tmp_path):
     assert closed["2025-01-01"] == 2 and closed["2025-01-05"] == 1
 
 
-def test_incremental_product_equals_batch(spark, tables, tmp_path):
-    rows = tables["silver_deliveries"].select("supplier", "destination_site", "material", "po_number", "total_cost", "is_damaged", "cost_validated")
-    half = F.pmod(F.xxhash64("po_number"), F.lit(2))
+def delivery_parts(tables):
+    """Final rows, and the same with some of them in an earlier, wrong version; some values are NULL."""
+    rows = tables["silver_deliveries"].select(products.ID, *products.COUNTED, F.lit(2).alias("version"))
+    some = lambda n: F.pmod(F.xxhash64(products.ID), F.lit(n)) == 0
+    rows = rows.withColumns(
+        {
+            "total_cost": F.when(~some(5), F.col("total_cost")),
+            "material": F.when(~some(11), F.col("material")),
+            "supplier": F.when(~some(13), F.col("supplier")),
+        }
+    )
+    wrong = rows.where(some(3)).withColumns(
+        {"version": F.lit(1), "total_cost": F.lit(1e6), "material": F.lit("gone"), "supplier": F.lit("nobody"), "is_damaged": ~F.col("is_damaged")}
+    )
+    return rows, rows.where(~some(3)).unionByName(wrong), rows.where(some(3))
+
+
+def test_incremental_product_with_repeats_and_corrections(spark, tables, tmp_path):
+    rows, first, corrections = delivery_parts(tables)
+    product = products.DeliveryPerformance(spark, str(tmp_path / "mv"), rows.schema, ["version"], buckets=2)
     src = str(tmp_path / "src")
-    for i in (0, 1):
-        rows.filter(half == i).write.mode("append").parquet(src)
-        stream = jobs.read_stream(spark, src, "parquet", rows.schema, files_per_trigger=2)
-        jobs.run_to_end(jobs.stream_refresh_mv(stream, str(tmp_path / "mv"), str(tmp_path / "ckpt")))
-    got = jobs.read_delivery_mv(spark, str(tmp_path / "mv"))
-    assert execution_match(got, gold.delivery_performance(rows)).first()["is_match"]
+    for part in (first, corrections, first):
+        part.coalesce(2).write.mode("append").parquet(src)
+        stream = jobs.read_stream(spark, src, "parquet", rows.schema, files_per_trigger=1)
+        jobs.run_to_end(product.refresh(stream, str(tmp_path / "ckpt")))
+    assert execution_match(product.read(), gold.delivery_performance(rows)).first()["is_match"]
+    assert not product.read().where("supplier = 'nobody'").count()
+
+
+def test_incremental_product_survives_a_crash_between_its_tables(spark, tables, tmp_path, monkeypatch):
+    rows, first, corrections = delivery_parts(tables)
+    product = products.DeliveryPerformance(spark, str(tmp_path / "mv"), rows.schema, ["version"], buckets=2)
+    product.apply(first, 0)
+    append = KeyedTable.append
+
+    def lost(self, batch, batch_id):
+        if self.path.endswith("members"):
+            raise OSError("lost")
+        append(self, batch, batch_id)
+
+    monkeypatch.setattr(KeyedTable, "append", lost)
+    with pytest.raises(OSError):
+        product.apply(corrections, 1)
+    # The sums are a batch ahead; readers stay at the last batch that every table has.
+    assert execution_match(product.read(), gold.delivery_performance(first)).first()["is_match"]
+    monkeypatch.undo()
+    product.apply(corrections, 1)
+    product.apply(corrections, 1)
+    assert execution_match(product.read(), gold.delivery_performance(rows)).first()["is_match"]
+
+
+def test_newest_state_with_late_rows_and_restart(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / n) for n in ("src", "t", "ckpt"))
+    for rows in (
+        [("a", 1, "2025-01-02 00:00:00"), ("a", 2, None), ("b", 1, "2025-01-01 00:00:00")],
+        [("a", 3, "2025-01-01 00:00:00"), ("b", None, "2025-01-01 00:00:00"), ("c", 7, None)],
+        [("b", 4, "2025-01-01 00:00:00"), ("c", 6, None)],
+    ):
+        put(spark, src, "x", rows)
+        # Each run is a restart: the state comes from the checkpoint.
+        query, table = jobs.stream_latest(jobs.read_stream(spark, src, "parquet", SCHEMA), path, ["k"], ["at", "v"], ckpt, buckets=1)
+        jobs.run_to_end(query)
+    assert contents(table.read()) == {"a": 1, "b": 4, "c": 7}
+    assert str(table.read().where("k = 'a'").first()["at"]) == "2025-01-02 00:00:00"
+
+
+def test_silent_keys_are_forgotten(spark, tmp_path):
+    src, path, ckpt = (str(tmp_path / n) for n in ("src", "t", "ckpt"))
+    seen = []
+    for rows in (
+        [("a", 1, "2025-01-01 00:00:00"), ("b", 1, "2025-01-01 00:00:00")],
+        [("b", 2, "2025-01-20 00:00:00")],
+        # The watermark has passed a's timer: its state is gone, so the older row counts as new.
+        [("a", 0, "2025-01-19 12:00:00"), ("b", 1, "2025-01-19 12:00:00")],
+    ):
+        put(spark, src, "x", rows)
+        stream = jobs.read_stream(spark, src, "parquet", SCHEMA)
+        changes = newest_rows(stream, ["k"], ["v"], "at", "1 day", timedelta(days=5))
+        jobs.run_to_end(jobs.write_log(changes, path, ckpt, "update", lambda b: b))
+    for r in jobs.read_log(spark, path).orderBy("_batch", "k").collect():
+        seen.append((r["k"], r["v"]))
+    assert seen == [("a", 1), ("b", 1), ("b", 2), ("a", 0)]
+    with pytest.raises(ValueError):
+        newest_rows(stream, ["k"], ["v"], None, None, timedelta(days=5))
 
 
 def test_dedup_within_watermark(spark, tmp_path):
@@ -96,11 +240,3 @@ def test_failed_stream_is_reported(spark, tmp_path):
     broken = lambda batch: batch.select(F.raise_error(F.lit("no")).cast("int").alias("x"))
     with pytest.raises(Exception, match="no"):
         jobs.run_to_end(jobs.write_log(stream, str(tmp_path / "log"), str(tmp_path / "ckpt"), shape=broken))
-
-
-def test_newest_by_matches_batch(spark, tmp_path):
-    src = str(tmp_path / "src")
-    put(spark, src, "x", [("a", 1, "2025-01-01 00:00:00"), ("a", 2, "2025-01-03 00:00:00"), ("b", 5, "2025-01-02 00:00:00")])
-    out = jobs.newest_by(jobs.read_stream(spark, src, "parquet", SCHEMA), ["k"], "at")
-    jobs.run_to_end(jobs.write_log(out, str(tmp_path / "log"), str(tmp_path / "ckpt"), "complete"))
-    assert {r["k"]: r["v"] for r in jobs.read_log(spark, str(tmp_path / "log")).collect()} == {"a": 2, "b": 5}
