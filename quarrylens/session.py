@@ -20,6 +20,8 @@ DEFAULTS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Idle sessions of one vehicle are merged inside each task before they are shuffled.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+    # The landing source prunes folders by filters.
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

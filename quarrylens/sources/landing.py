@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-import csv
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarrylens.sources import files
+from quarrylens.sources.feed_source import feed_options
+
 
 def list_batches(spark: SparkSession, landing: str) -> list[str]:
     """Folder names under ``landing`` (a directory listing, not data)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(landing)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory())
+    return files.folders(spark, landing)
 
 
 def resolve_batch(spark: SparkSession, landing: str, batch_id: str | None = None) -> str:
@@ -34,51 +32,55 @@ def as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
 
 
-def csv_headers(spark: SparkSession, paths: str | list[str]) -> dict[tuple[str, ...], list[str]]:
-    """Column names -> files that begin with them.
+# Columns that a file may have beyond the declared ones.
+EXTRA_COLUMNS = 64
 
-    The first line is taken from the split that begins each file, which one task reads in order.
-    The driver sees one line and one path per file, as in a listing.
-    """
-    lines = spark.read.text(paths).select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start")
-    )
-    found = lines.filter("start = 0").groupBy("file").agg(F.first("value").alias("header")).collect()
-    out: dict[tuple[str, ...], list[str]] = {}
-    for row in sorted(found):
-        names = tuple(n.strip() for n in next(csv.reader([row["header"].removeprefix("\ufeff")]), []))
-        out.setdefault(names, []).append(row["file"])
-    return out
-
-
-def read_csv_by_name(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    """Cells as text under their header's names, whatever order or set of columns a file has.
-
-    Files with one header are read together.  Columns that a file lacks are NULL, columns that
-    the schema lacks are left out; ``_source_file`` names each row's file.
+
+def feed_rows(lines: DataFrame, fmt: str, schema: T.StructType) -> DataFrame:
+    """Lines of the landing source as cells of text under the declared names, ``_batch`` and ``_source_file``.
+
+    CSV cells are found by the header's names, whatever order or set of columns a file has: columns
+    that it lacks are NULL, others are left out, a repeated name keeps its first column.  A header
+    with more than ``EXTRA_COLUMNS`` columns beyond the declared number ends the query.
     """
-    parts = []
-    for names, files in csv_headers(spark, paths).items():
-        # A repeated name keeps its first column.
-        unique = [n if names.index(n) == i else f"{n}_{i}" for i, n in enumerate(names)]
-        own = T.StructType([T.StructField(n, T.StringType(), True) for n in unique])
-        rows = spark.read.schema(own).option("header", True).csv(files)
-        cells = [F.col(f"`{f.name}`") if f.name in unique else F.lit(None).cast("string").alias(f.name) for f in schema]
-        parts.append(rows.select(*cells, F.col("_metadata.file_path").alias("_source_file")))
-    if not parts:
-        return spark.createDataFrame([], T.StructType([*as_text(schema), T.StructField("_source_file", T.StringType())]))
-    return reduce(DataFrame.unionByName, parts)
+    if fmt == "json":
+        cells = F.from_json("value", as_text(schema)).alias("_c")
+        return lines.select(cells, "_batch", "_source_file").select("_c.*", "_batch", "_source_file")
+    size = len(schema) + EXTRA_COLUMNS
+    places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(size)])
+    parsed = lines.select("places", "width", "_batch", "_source_file", F.from_csv("value", places.simpleString()[7:-1].replace(":", " ")).alias("_c"))
+    cells = parsed.select("places", "width", "_batch", "_source_file", F.array(*[f"_c.c{i}" for i in range(size)]).alias("_a"))
+    wide = F.when(F.col("width") > size, F.raise_error(F.concat(F.lit("too many columns in "), F.col("_source_file"))))
+
+    def cell(i: int, name: str) -> Column:
+        place = F.get("places", F.lit(i))
+        return F.when(wide.isNull() & (place > 0), F.get("_a", place - 1)).alias(name)
+
+    return cells.select(*[cell(i, f.name) for i, f in enumerate(schema)], "_batch", "_source_file")
+
+
+def read_lines(spark: SparkSession, path: str | list[str], fmt: str, schema: T.StructType, **more: object) -> DataFrame:
+    """One pass over the files of a feed, see :mod:`quarrylens.sources.feed_source`."""
+    paths = [path] if isinstance(path, str) else list(path)
+    options = feed_options(spark, paths, schema.names, fmt, **more)
+    return feed_rows(spark.read.format("landing_feed").options(**options).load(), fmt, schema)
+
+
+def stream_lines(spark: SparkSession, path: str, fmt: str, schema: T.StructType, log: str, files_per_trigger: int) -> DataFrame:
+    """The same rows as a stream of files not seen before; ``log`` belongs to the checkpoint."""
+    options = feed_options(spark, [path], schema.names, fmt, log=log, files_per_trigger=files_per_trigger)
+    return feed_rows(spark.readStream.format("landing_feed").options(**options).load(), fmt, schema)
 
 
 def read_feed(spark: SparkSession, path: str | list[str], fmt: str, schema: T.StructType, text: bool = False) -> DataFrame:
     """Read one feed with a declared schema; nothing is inferred from the data.
 
-    As text, CSV is read by header name.  Typed CSV must have exactly the declared header.
+    As text, CSV and JSON lines come from the landing source, CSV by header name.  Typed CSV must have
+    exactly the declared header.
     """
-    if fmt == "csv" and text:
-        return read_csv_by_name(spark, path, schema)
-    wanted = as_text(schema) if text else schema
-    reader = spark.read.schema(wanted)
+    if text and fmt in ("csv", "json"):
+        return read_lines(spark, path, fmt, schema)
+    reader = spark.read.schema(as_text(schema) if text else schema)
     if fmt == "csv":
         return reader.option("header", True).option("enforceSchema", False).csv(path)
     if fmt == "json":

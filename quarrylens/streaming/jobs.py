@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import Colish, exact, pct, ratio, rnd
 from quarrylens.operators.latest import dedup_latest
-from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, with_ingest_meta
+from quarrylens.sources.landing import BAD_COLUMNS, conform, stream_lines, with_ingest_meta
 from quarrylens.streaming.keyed import KeyedTable
 from quarrylens.streaming.latest_state import newest_rows
 
@@ -84,23 +84,26 @@ def stream_ingest(
     ingested_at: datetime,
     files_per_trigger: int = 1000,
 ) -> StreamingQuery:
-    """Take up files not seen before; the checkpoint makes each file count once.
+    """Take up the files not seen before, ``files_per_trigger`` at a time, and stop.
 
-    The stream only tells which files are new (at most ``files_per_trigger`` names at a time).
-    Their rows are read by column name, fitted to the schema, and written with the rejects in one
-    overwrite of the batch's folder, split by ``_rejected`` (0 or 1): a batch tried again replaces itself.
+    Each file is read once: the stream's own rows are fitted to the schema and written with the rejects in one
+    overwrite of the batch's folder, split by ``_rejected`` (0 or 1), so a batch tried again replaces itself.
     """
-    names = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).text(f"{landing}/*/{feed}")
-    names = names.select(F.col("_metadata.file_path").alias("file"))
+    lines = stream_lines(spark, f"{landing}/*/{feed}", fmt, schema, f"{checkpoint}/files", files_per_trigger)
+    raw = with_ingest_meta(lines.drop("_batch"), ingested_at)
+    rows = conform(raw, schema, keep=("_ingested_at", "_source_file"), report=True)
+    rows = rows.withColumn("_rejected", (F.size(BAD_COLUMNS) > 0).cast("int"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        files = [row["file"] for row in batch.distinct().collect()]
-        raw = with_ingest_meta(read_feed(batch.sparkSession, files, fmt, schema, text=True), ingested_at)
-        rows = conform(raw, schema, keep=("_ingested_at", "_source_file"), report=True)
-        rows = rows.withColumn("_rejected", (F.size(BAD_COLUMNS) > 0).cast("int"))
-        rows.write.mode("overwrite").partitionBy("_rejected").parquet(f"{out}/_batch={batch_id}")
-
-    return names.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start()
+        batch.write.mode("overwrite").partitionBy("_rejected").parquet(f"{out}/_batch={batch_id}")
+
+    query = rows.writeStream.option("checkpointLocation", f"{checkpoint}/query").foreachBatch(sink).start()
+    try:
+        # The trigger for available data would take all new files in one micro-batch.
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return query
 
 
 def stream_dedup(df: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
