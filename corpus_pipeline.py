@@ -50,9 +50,14 @@ STAGES: list[tuple[str, Stage]] = [
 # The classifier, the fingerprints and the packing are not SQL; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
+# Whole texts that pass between JVM and Python at once; the default of 10,000 costs an executor
+# hundreds of MB beside what the stages themselves hold.
+ROWS_AT_ONCE = 256
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each but the last is stored as Parquet and read again."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_AT_ONCE)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name)
