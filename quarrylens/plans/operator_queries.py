@@ -6,6 +6,7 @@ event file, retrieval over documents and embeddings, evaluation over labels.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +18,7 @@ from quarrylens.functions.predicates import after_hour, month_start
 from quarrylens.functions.vocab import canonicalise_vocab
 from quarrylens.operators import evaluate, retrieval, security, windows
 from quarrylens.operators.latest import dedup_latest
-from quarrylens.plans import gold, silver
+from quarrylens.plans import gold, pipeline, silver
 from quarrylens.plans.rollups import MONEY
 from quarrylens.session import work_dir
 from quarrylens.sources import landing, sinks
@@ -567,7 +568,7 @@ def null_rank(t: Tables) -> DataFrame:
 
 @stream("a_landing_roundtrip")
 def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    """Invoices landed with columns moved, missing and added per batch, read back by name."""
+    """Invoices landed with columns moved, missing and added per file, loaded twice, read back by name."""
     t = derived_tables(spark, folder)
     root = work_dir(spark, "roundtrip")
     names = [f.name for f in SUPPLIER_INVOICES]
@@ -576,10 +577,10 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     shuffled = rows.filter(odd).select(*reversed(names), F.lit("x").alias("remark")).drop("currency")
     rows.filter(~odd).write.option("header", True).csv(f"{root}/landing/20010701/supplier_invoices/a")
     shuffled.write.option("header", True).csv(f"{root}/landing/20010701/supplier_invoices/b")
-    path = landing.resolve_batch(spark, f"{root}/landing")
-    raw = landing.read_feed(spark, f"{path}/supplier_invoices/*", "csv", SUPPLIER_INVOICES, text=True)
-    good, bad = landing.split_rejects(conform(landing.with_ingest_meta(raw, LOADED_AT), SUPPLIER_INVOICES, report=True))
-    good.write.mode("append").parquet(f"{root}/bronze")
-    return spark.read.parquet(f"{root}/bronze").select("invoice_id", "supplier", "currency", "site", "total_aud", "batch_id").unionByName(
-        bad.select("invoice_id", "supplier", "currency", "site", "total_aud", "batch_id")
-    )
+    path, db = landing.resolve_batch(spark, f"{root}/landing"), f"roundtrip_{uuid.uuid4().hex}"
+    sinks.ensure_db(spark, db)
+    for _ in range(2):
+        pipeline.land_feed(spark, path, "supplier_invoices", SUPPLIER_INVOICES, "csv", db, LOADED_AT)
+    columns = ["invoice_id", "supplier", "currency", "site", "total_aud", "batch_id"]
+    good, bad = spark.table(f"{db}.supplier_invoices"), spark.table(f"{db}.supplier_invoices_rejects")
+    return good.select(columns).unionByName(bad.select(columns))

@@ -6,10 +6,11 @@ from datetime import date, datetime
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarrylens.plans import gold, silver
 from quarrylens.sources import sinks
-from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, resolve_batch, split_rejects, with_ingest_meta
+from quarrylens.sources.landing import BAD_COLUMNS, conform, read_feed, resolve_batch, with_ingest_meta
 from quarrylens.sources.schemas import FEEDS
 from quarrylens.sources.tables import Tables
 
@@ -18,19 +19,33 @@ INGEST = ("_ingested_at", "_source_file")
 LOAD_ORDER = ("_ingested_at", "batch_id", "_source_file")
 
 
+LOAD = "_load"
+
+
+def land_feed(spark: SparkSession, path: str, feed: str, schema: T.StructType, fmt: str, db: str, loaded_at: datetime) -> dict[str, int]:
+    """Write one feed of one batch folder into its partition of ``<feed>_landed``: one read, one overwrite.
+
+    Loading a folder again replaces what it loaded before.  ``<feed>`` shows the rows that fit the
+    schema, ``<feed>_rejects`` the others with the names of their bad columns.
+    """
+    raw = with_ingest_meta(read_feed(spark, f"{path}/{feed}", fmt, schema, text=True), loaded_at)
+    fitted, seen = sinks.counted(conform(raw, schema, keep=INGEST, report=True), bad=F.size(BAD_COLUMNS) > 0)
+    landed = f"{db}.{feed}_landed"
+    sinks.ensure_table(spark, landed, fitted.schema.add(LOAD, T.StringType()), partition_by=[LOAD])
+    sinks.overwrite_partition(fitted, landed, {LOAD: path.rstrip("/").rsplit("/", 1)[-1]})
+    columns = ", ".join(f"`{c}`" for c in (*schema.names, *INGEST))
+    sinks.define_view(spark, f"{db}.{feed}", f"SELECT {columns} FROM {landed} WHERE size({BAD_COLUMNS}) = 0", f"{feed}, raw")
+    sinks.define_view(spark, f"{db}.{feed}_rejects", f"SELECT {columns}, {BAD_COLUMNS} FROM {landed} WHERE size({BAD_COLUMNS}) > 0", f"{feed}, rejected")
+    return {feed: seen.get["rows"] - seen.get["bad"], f"{feed}_rejects": seen.get["bad"]}
+
+
 def run_bronze(spark: SparkSession, landing: str, db: str, loaded_at: datetime, batch_id: str | None = None) -> dict[str, int]:
-    """Append every feed of one batch; rows that do not fit the schema go to ``<feed>_rejects``."""
+    """Load every feed of one batch folder; a folder counts once, however often it is loaded."""
     path = resolve_batch(spark, landing, batch_id)
-    sinks.ensure_db(spark, db, "raw feeds, append only")
-    counts = {}
+    sinks.ensure_db(spark, db, "raw feeds, one partition a batch folder")
+    counts: dict[str, int] = {}
     for feed, (schema, fmt) in FEEDS.items():
-        raw = with_ingest_meta(read_feed(spark, f"{path}/{feed}", fmt, schema, text=True), loaded_at)
-        fitted, seen = sinks.counted(conform(raw, schema, keep=INGEST, report=True), bad=F.size(BAD_COLUMNS) > 0)
-        counts[feed] = sinks.append(split_rejects(fitted)[0], f"{db}.{feed}", partition_by=["batch_id"])
-        counts[f"{feed}_rejects"] = seen.get["bad"]
-        if seen.get["bad"]:
-            # Only a batch with bad rows is read once more.
-            sinks.append(split_rejects(conform(raw, schema, keep=INGEST, report=True))[1], f"{db}.{feed}_rejects")
+        counts |= land_feed(spark, path, feed, schema, fmt, db, loaded_at)
     return counts
 
 

@@ -6,6 +6,7 @@ otherwise.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -101,6 +102,16 @@ def overwrite_rows(df: DataFrame, table: str) -> None:
     df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target]).write.insertInto(table, overwrite=True)
 
 
+def overwrite_partition(df: DataFrame, table: str, partition: Mapping[str, str]) -> None:
+    """Replace one partition, named in full, and leave the others; ``df`` lacks its columns."""
+    spark, view = df.sparkSession, f"_rows_{uuid.uuid4().hex}"
+    columns = ", ".join(f"`{c}`" for c in spark.table(table).columns if c not in partition)
+    named = ", ".join(f"`{k}` = {_quoted(v)}" for k, v in partition.items())
+    df.createOrReplaceTempView(view)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({named}) SELECT {columns} FROM {view}")
+    spark.catalog.dropTempView(view)
+
+
 def mirror_copy(spark: SparkSession, source: str, target: str) -> int:
     """Unfiltered copy of a base table."""
     return replace(spark.table(source), target)

@@ -7,10 +7,11 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import EqualTo
 
 from quarrylens.operators import security
 from quarrylens.plans import pipeline
-from quarrylens.sources import landing, schemas, sinks
+from quarrylens.sources import feed_source, landing, schemas, sinks
 from quarrylens.sources.tables import Tables
 
 AT = datetime(2025, 7, 1, 6)
@@ -80,11 +81,14 @@ def test_batch_chain(spark, feeds):
     score = {r["supplier"]: r["supplier_tier"] for r in spark.table("t_gold.supplier_scorecard").collect()}
     assert score == {"s1": "D - Review Required", "s2": "A - Preferred"}
 
-    # Loading the same batch again appends raw rows and leaves the clean rows as they were.
-    pipeline.run_bronze(spark, feeds, "t_bronze", AT)
-    assert spark.table("t_bronze.gps_pings").count() == 6
+    # Loading the same batch again leaves raw and clean rows as they were; another batch adds its rows.
+    assert pipeline.run_bronze(spark, feeds, "t_bronze", AT) == loaded
+    assert spark.table("t_bronze.gps_pings").count() == 3 and spark.table("t_bronze.gps_pings_rejects").count() == 1
     assert pipeline.run_silver(spark, "t_bronze", "t_silver", date(2025, 7, 1), AT) == clean
     assert "_processed_at" in spark.table("t_silver.deliveries").columns
+    pipeline.run_bronze(spark, feeds, "t_bronze", datetime(2025, 6, 30), "20250630_0600")
+    assert spark.table("t_bronze.gps_pings").count() == 6 and spark.table("t_bronze.gps_pings_rejects").count() == 2
+    assert [r[landing.BAD_COLUMNS] for r in spark.table("t_bronze.gps_pings_rejects").collect()] == [["speed_kmh"]] * 2
 
 
 def test_tables_and_views(spark):
@@ -181,3 +185,59 @@ def test_stream_ingest_by_name_with_rejects(spark, tmp_path):
     assert log.select("_batch").distinct().count() == 4
     assert _seen(log) == EXPECTED
     assert [r["ping_id"] for r in log.filter("_rejected = 1").collect()] == ["3"]
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 10**6])
+def test_each_line_is_read_by_one_range(tmp_path, size):
+    lines = ["id,name", "1,a", "", "22,bb\r", "3,ü", "4444444444,last without end"]
+    (tmp_path / "b1" / "f").mkdir(parents=True)
+    (tmp_path / "b1" / "f" / "x.csv").write_text("\n".join(lines), encoding="utf-8")
+    found = feed_source.find(f"{tmp_path}/*/f")
+    options = {"paths": "[]", "columns": json.dumps(["name", "none"]), "format": "csv"}
+    reader = feed_source.FeedReader(options)
+    rows = []
+    for part in feed_source.deal(found, size):
+        for batch in reader.read(part):
+            rows += batch.to_pylist()
+    assert [r["value"] for r in rows] == ["1,a", "22,bb", "3,ü", "4444444444,last without end"]
+    assert {(tuple(r["places"]), r["width"], r["_batch"]) for r in rows} == {((2, 0), 2, "b1")}
+
+
+def test_folders_are_pruned_and_small_files_share_a_task(spark, tmp_path, monkeypatch):
+    for b in range(6):
+        (tmp_path / f"b{b}" / "f").mkdir(parents=True)
+        for i in range(3):
+            (tmp_path / f"b{b}" / "f" / f"{i}.csv").write_text(f"ping_id,speed_kmh\n{b}{i},1.5\n")
+    rows = landing.read_lines(spark, f"{tmp_path}/*/f", "csv", SHORT)
+    assert rows.rdd.getNumPartitions() == 1 and rows.count() == 18
+    some = rows.where(F.col("_batch").isin("b1", "b4"))
+    assert sorted(r["ping_id"] for r in some.collect()) == ["10", "11", "12", "40", "41", "42"]
+    assert {f.batch for f in feed_source.find(f"{tmp_path}/*/f", {"b1"})} == {"b1"}
+    # Folders of other batches are not even listed.
+    asked = []
+    children = feed_source._children
+    monkeypatch.setattr(feed_source, "_children", lambda s, folder: asked.append(folder) or children(s, folder))
+    feed_source.find(f"{tmp_path}/*/f", {"b2"})
+    assert sorted(a.removeprefix(str(tmp_path)) for a in asked) == ["", "/b2", "/b2/f"]
+    reader = feed_source.FeedReader({"paths": json.dumps([f"{tmp_path}/*/f"]), "columns": "[]"})
+    left = list(reader.pushFilters([EqualTo(("_batch",), "b3"), EqualTo(("value",), "x")]))
+    assert reader.batches == {"b3"} and len(left) == 1 and len(reader.partitions()[0].pieces) == 3
+
+
+def test_json_gzip_quotes_and_too_wide_headers(spark, tmp_path):
+    import gzip
+
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "a.json").write_text('{"ping_id": 5, "speed_kmh": "x", "other": 1}\nnot json\n')
+    rows = landing.read_feed(spark, f"{tmp_path}/j", "json", SHORT, text=True)
+    assert sorted(map(tuple, rows.select("ping_id", "speed_kmh", "batch_id").collect()), key=str) == [("5", "x", None), (None, None, None)]
+    (tmp_path / "c").mkdir()
+    with gzip.open(tmp_path / "c" / "a.csv.gz", "wt") as file:
+        file.write('ping_id,"batch_id",ping_id\n"a, b",,second\n"say \\"hi\\"",x\n')
+    rows = landing.read_feed(spark, f"{tmp_path}/c", "csv", SHORT, text=True)
+    assert sorted(map(tuple, rows.select("ping_id", "batch_id").collect()), key=str) == [("a, b", None), ('say "hi"', "x")]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "a.csv").write_text(",".join(f"n{i}" for i in range(90)) + "\n1,2\n")
+    with pytest.raises(Exception, match="too many columns"):
+        landing.read_feed(spark, f"{tmp_path}/w", "csv", SHORT, text=True).collect()
+    assert landing.read_feed(spark, f"{tmp_path}/none", "csv", SHORT, text=True).count() == 0
