@@ -157,6 +157,11 @@ EXTRA: dict[str, str] = {
     "s2_keyword_topk": f"WITH {keyword(CHUNKS, 'doc_id, chunk_no', 5)} SELECT query_id, doc_id, chunk_no, score, rank FROM kw",
     "s3_nearest_in_group": f"WITH {vector(5, True)} SELECT * FROM vec",
     "s3_vector_topk": f"WITH {vector(5)} SELECT * FROM vec",
+    "s3_vector_index": f"""WITH c AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS centre FROM embeddings WHERE vec_id % 50 = 0),
+        s AS (SELECT c.query_id, e.vec_id, {COSINE} AS score FROM embeddings e CROSS JOIN c)
+        SELECT query_id, vec_id, score, rank FROM (
+          SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s WHERE score IS NOT NULL)
+        WHERE rank <= 10""",
     "s3_hybrid_topk": f"""WITH {keyword('SELECT doc_id, text FROM documents', 'doc_id', 20)}, {vector(20)},
         f AS (SELECT query_id, doc_id, RND(COALESCE(1.0::DOUBLE / (60 + k.rank), 0) + COALESCE(1.0::DOUBLE / (60 + v.rank), 0), 8) AS score
               FROM kw k FULL JOIN (SELECT CAST(query_id AS BIGINT) AS query_id, vec_id AS doc_id, rank FROM vec) v USING (query_id, doc_id))

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylens.functions.numeric import ratio, rnd
+from quarrylens.operators.keyword_index import UNIT, KeywordIndex
+from quarrylens.operators.vector_index import VectorIndex
 
 WORDS = r"[^\p{L}\p{N}]+"
 
@@ -34,41 +32,20 @@ def tokens(c: str | Column) -> Column:
     return F.filter(F.split(F.lower(text), WORDS), lambda w: F.length(w) > 0)
 
 
-def postings(chunks: DataFrame, key: list[str], asked: DataFrame) -> DataFrame:
-    """(key, term, tf, length) of the asked terms; other words are dropped before anything moves."""
-    words = chunks.select(*key, tokens("text").alias("_w")).select(
-        *key, F.size("_w").alias("length"), F.explode("_w").alias("term")
-    )
-    return (
-        words.join(asked, "term", "left_semi")
-        .groupBy(*key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"), F.max("length").alias("length"))
-    )
-
-
 def keyword_topk(chunks: DataFrame, queries: DataFrame, k: int, key: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 over chunks; ``queries`` is (query_id, term), one row per distinct keyword.
 
-    Contributions are summed as DECIMAL, so ranks do not depend on the order of addition.
+    Builds an index of the asked terms only.  To search the same chunks again, build a
+    :class:`KeywordIndex` without ``only`` and keep it.
     """
-    chunks = chunks.select(*key, "text")
-    sizes = chunks.select(F.size(tokens("text")).alias("n"))
-    stats = sizes.agg(F.count(F.lit(1)).alias("chunks"), ratio(F.sum("n"), F.count("n")).alias("avg_len"))
-    n_chunks, avg_len = stats.select("chunks").scalar(), stats.select("avg_len").scalar()
-    asked = queries.select("term").distinct()
-    found = postings(chunks, key, asked)
-    spread = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log1p((n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    tf = F.col("tf").cast("double")
-    weight = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * F.col("length") / avg_len))
-    scored = (
-        found.join(spread.withColumn("_idf", idf).select("term", "_idf"), "term")
-        .select(*key, "term", (F.col("_idf") * weight).cast("decimal(18,8)").alias("_part"))
-        .join(queries, "term")
-        .groupBy("query_id", *key)
-        .agg(rnd(F.sum("_part").cast("double"), 4).alias("score"))
-    )
-    return top_per_query(scored, k, key)
+    index = KeywordIndex.build(chunks, key, tokens("text"), k1, b, only=queries)
+    return keyword_search(index, queries, k)
+
+
+def keyword_search(index: KeywordIndex, queries: DataFrame, k: int) -> DataFrame:
+    """Best ``k`` chunks per query by BM25, rounded to four places; ties go to the smaller key."""
+    score = rnd(F.col("score") / UNIT, 4).alias("score")
+    return top_per_query(index.search(queries, k).select("query_id", *index.key, score), k, index.key)
 
 
 def top_per_query(scored: DataFrame, k: int, key: list[str]) -> DataFrame:
@@ -103,65 +80,13 @@ def centres_of(emb: DataFrame, group: str) -> DataFrame:
     )
 
 
-def vector_topk(emb: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", block: int = 1000) -> DataFrame:
-    """Exact cosine top-k of (query_id, centre) over every vector.
+def vector_topk(emb: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", block: int = 512) -> DataFrame:
+    """Exact cosine top-k of (query_id, centre) over every vector, rounded to six places; ties go to the smaller id.
 
-    The queries go to the tasks in blocks of at most ``block`` vectors, counted before they
-    are fetched; more queries mean more passes over the data, never a larger broadcast.
-    Each Arrow batch is one matrix product and keeps its own best k per query, so pairs are
-    not emitted.
+    Queries stay rows, ``block`` of them in one matrix product.  To search the same vectors again, keep
+    a :class:`VectorIndex`.
     """
-    spark = emb.sparkSession
-    schema = f"query_id {queries.schema['query_id'].dataType.simpleString()}, {id_col} {emb.schema[id_col].dataType.simpleString()}, score double"
-    parts = []
-    for rows in _query_blocks(queries, block):
-        ids = [r["query_id"] for r in rows]
-        matrix = np.array([r["centre"] for r in rows], dtype=np.float64)
-        parts.append(emb.select(id_col, "embedding").mapInPandas(_scorer(ids, matrix, k, id_col), schema))
-    if not parts:
-        return spark.createDataFrame([], schema + ", rank int")
-    scored = parts[0]
-    for more in parts[1:]:
-        scored = scored.unionByName(more)
-    return top_per_query(scored, k, [id_col])
-
-
-def _query_blocks(queries: DataFrame, block: int) -> Iterator[list]:
-    """Query vectors in hash blocks whose sizes are checked before any block is fetched."""
-    n_blocks = -(-queries.count() // block)
-    while n_blocks > 1:
-        slot = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
-        largest = queries.groupBy(slot.alias("slot")).count().agg(F.max("count")).first()[0]
-        if largest <= block:
-            break
-        n_blocks *= 2
-    for i in range(n_blocks):
-        chosen = queries.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == i) if n_blocks > 1 else queries
-        rows = chosen.select("query_id", "centre").collect()
-        if rows:
-            yield rows
-
-
-def _scorer(ids: list, matrix: np.ndarray, k: int, id_col: str):
-    norms = np.linalg.norm(matrix, axis=1)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            data = np.stack(pdf["embedding"].to_numpy()).astype(np.float64)
-            length = np.linalg.norm(data, axis=1)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                sims = (data @ matrix.T) / (length[:, None] * norms[None, :])
-            sims = np.floor(np.abs(sims) * 1e6 + 0.5) / 1e6 * np.sign(sims) + 0.0
-            keys = pdf[id_col].to_numpy()
-            for j, query_id in enumerate(ids):
-                column = sims[:, j]
-                good = np.flatnonzero(~np.isnan(column))
-                best = good[np.lexsort((keys[good], -column[good]))[:k]]
-                yield pd.DataFrame({"query_id": query_id, id_col: keys[best], "score": column[best]})
-
-    return score
+    return top_per_query(VectorIndex.build(emb, id_col).search(queries, k, block), k, [id_col])
 
 
 def fuse_ranks(a: DataFrame, b: DataFrame, k: int, key: list[str], constant: int = 60) -> DataFrame:

@@ -471,6 +471,13 @@ def vectors(t: Tables) -> DataFrame:
     return retrieval.vector_topk(t["embeddings"], centres, 5)
 
 
+@demo("s3_vector_index")
+def many_vectors(t: Tables) -> DataFrame:
+    """Every fiftieth vector as a query against all vectors."""
+    queries = t["embeddings"].where(F.col("vec_id") % 50 == 0).select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("centre"))
+    return retrieval.vector_topk(t["embeddings"], queries, 10)
+
+
 @demo("s3_hybrid_topk")
 def hybrid(t: Tables) -> DataFrame:
     """Benchmark item n beside label n: keyword hits on documents fused with vector hits of the same number."""

@@ -14,7 +14,9 @@ from pyspark.sql import functions as F
 from quarrylens.functions import aggs
 from quarrylens.operators import joins, retrieval, windows
 from quarrylens.operators.evaluate import eval_rollup, execution_match
+from quarrylens.operators.keyword_index import KeywordIndex
 from quarrylens.operators.latest import latest_snapshot, latest_with_ties
+from quarrylens.operators.vector_index import VectorIndex
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 small = st.integers(0, 6)
@@ -116,8 +118,9 @@ def test_sections(spark):
 
 
 def bm25(docs, queries, k, k1=1.2, b=0.75):
-    words = {i: [w for w in "".join(c if c.isalpha() else " " for c in t.lower()).split()] for i, t in docs.items()}
-    avg = sum(map(len, words.values())) / len(words)
+    words = {i: [w for w in "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()] for i, t in docs.items()}
+    known = [ws for i, ws in words.items() if docs[i] is not None]
+    avg = sum(map(len, known)) / len(known)
     df = Counter(w for ws in words.values() for w in set(ws))
     out = set()
     for q, terms in queries.items():
@@ -154,6 +157,60 @@ def test_vector_topk_equals_brute_force(spark, block):
     assert got == want
 
 
+def test_keyword_shards_are_skipped_and_nothing_is_missed(spark):
+    """Many small shards, common and rare terms, ties: as brute force, without opening every shard."""
+    rng = np.random.default_rng(3)
+    common = ["the", "of", "site", "pump", "unit"]
+    spelled = lambda n: str(n).translate(str.maketrans("0123456789", "abcdefghij"))
+    docs = {i: " ".join([*rng.choice(common, 12), "rare" + spelled(i // 3), "word" + spelled(i % 17)]) for i in range(120)}
+    docs[500] = docs[501] = docs[3]
+    queries = {1: ["rareb", "the", "of"], 2: ["worde", "pump"], 3: common, 4: ["rareh", "wordc", "site"]}
+    d = spark.createDataFrame(list(docs.items()), "doc_id int, text string").union(spark.createDataFrame([(900, ""), (901, None)], "doc_id int, text string"))
+    q = spark.createDataFrame([(i, w) for i, ws in queries.items() for w in ws], "query_id int, term string")
+    index = KeywordIndex.build(d, ["doc_id"], retrieval.tokens("text"), shard=8)
+    assert index.shards.count() >= 15
+    opened = []
+    scored = KeywordIndex._scored
+    index._scored = lambda pairs, *rest: opened.append(pairs.count()) or scored(index, pairs, *rest)
+    got = retrieval.keyword_search(index, q, 3).collect()
+    # Without words and without text: both are chunks, the latter has no length.
+    want = bm25(docs | {900: "", 901: None}, queries, 3)
+    assert {(r["query_id"], r["doc_id"], round(r["score"], 4), r["rank"]) for r in got} == want
+    assert opened[0] == 4 and sum(opened) < 4 * index.shards.count()
+    with_few = retrieval.keyword_topk(d, q, 3, ["doc_id"]).collect()
+    assert {(r["query_id"], r["doc_id"], r["rank"]) for r in with_few} == {(a, b, c) for a, b, _, c in want}
+
+
+def test_vector_clusters_are_skipped_and_nothing_is_missed(spark):
+    rng = np.random.default_rng(5)
+    middles = rng.normal(size=(12, 16)) * 4
+    data = (middles[rng.integers(12, size=600)] + rng.normal(size=(600, 16)) * 0.4).astype(np.float32)
+    data[300:320] = data[7]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(data)] + [(900, [0.0] * 16), (901, None), (902, [float("nan")] * 16)]
+    emb = spark.createDataFrame(rows, "vec_id int, embedding array<float>").repartition(3)
+    queries = emb.where("vec_id % 50 = 0").selectExpr("vec_id as query_id", "embedding as centre")
+    index = VectorIndex.build(emb, rows=32, sample=200)
+    opened = []
+    scored = VectorIndex._scored
+    index._scored = lambda visits, *rest: opened.append(visits.count()) or scored(index, visits, *rest)
+    found = retrieval.top_per_query(index.search(queries, 5, 3), 5, ["vec_id"]).collect()
+    units = data.astype(float) / np.linalg.norm(data.astype(float), axis=1)[:, None]
+    want = set()
+    for j in range(0, 600, 50):
+        sims = np.round(units @ units[j], 6)
+        want |= {(j, int(i), n) for n, i in enumerate(np.lexsort((np.arange(600), -sims))[:5], 1)}
+    assert {(r["query_id"], r["vec_id"], r["rank"]) for r in found} == want
+    assert opened[0] == 12 and sum(opened) < 12 * len(index.centres) / 2
+
+
+def test_vector_search_without_vectors(spark):
+    none = spark.createDataFrame([], "vec_id int, embedding array<float>")
+    ask = spark.createDataFrame([(1, [1.0, 0.0]), (2, None)], "query_id int, centre array<double>")
+    one = spark.createDataFrame([(5, [0.0, 2.0])], "vec_id int, embedding array<float>")
+    assert retrieval.vector_topk(none, ask, 3).count() == 0
+    assert [tuple(r) for r in retrieval.vector_topk(one, ask, 3).collect()] == [(1, 5, 0.0, 1)]
+
+
 def test_search_respects_grants_and_filters(spark):
     docs = spark.createDataFrame([(1, "pump seal", "hr", "en"), (2, "pump", "ops", "en"), (3, "pump", "ops", "fr")], "doc_id int, text string, source string, lang string")
     acl = spark.createDataFrame([("ops-team", "ops")], "group_name string, source string")
