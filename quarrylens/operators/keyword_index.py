@@ -1,6 +1,6 @@
 """Inverted index for BM25 with block maxima: exact top-k that opens only the shards that can matter.
 
-A shard holds the postings of a range of chunks as one row of arrays, term by term.  Beside it stands
+A shard holds the postings of some thousand chunks as one row of arrays, term by term.  Beside it stands
 the largest contribution of every term in every shard.  For a query their sum bounds every score in
 a shard: the best-bounded shard is scored first, its k-th best score is the query's threshold, and
 only shards whose bound reaches it are opened.  Postings are never joined with queries row by row;
@@ -42,12 +42,12 @@ def postings(chunks: DataFrame, key: Sequence[str], words: Column, only: DataFra
 
     With ``only`` (column ``term``) other terms are dropped before anything moves.
     """
+    # One projection below the explode, and no filter that the plain explode would infer from it: the
+    # words of a chunk are made once.  There is always at least the empty term.
     none = F.array().cast("array<string>")
-    rows = chunks.select(*key, words.alias("_w")).select(
-        *key,
-        F.when(F.col("_w").isNotNull(), F.size("_w")).alias("length"),
-        F.explode(F.concat(F.array(F.lit("")), F.coalesce("_w", none))).alias("term"),
-    )
+    rows = chunks.select(
+        *key, F.when(words.isNotNull(), F.size(words)).alias("length"), F.concat(F.array(F.lit("")), F.coalesce(words, none)).alias("_w")
+    ).select(*key, "length", F.explode_outer("_w").alias("term"))
     if only is not None:
         kept = only.select("term").union(only.sparkSession.range(1).select(F.lit("").alias("term"))).distinct()
         rows = rows.join(kept, "term", "left_semi")
@@ -72,8 +72,8 @@ class KeywordIndex:
         weight = tf * (k1 + 1.0) / (tf + k1 * (1.0 - b + b * F.col("length") / F.lit(whole["avg"])))
         part = ((F.col("_idf") * weight).cast("decimal(18,8)") * UNIT).cast("bigint").alias("part")
         rows = found.where("term <> ''").join(df.select("term", idf.alias("_idf")), "term").select(*key, "term", part)
-        # Ranges of whole chunks, as many as shards are expected.
-        dealt = rows.repartitionByRange(max(1, -(-whole["n"] // shard)), *key).sortWithinPartitions(*key)
+        # Whole chunks together, by hash: ranges would need a second pass for their limits.
+        dealt = rows.repartition(max(1, -(-whole["n"] // shard)), *key).sortWithinPartitions(*key)
         kinds = ", ".join(f"{c}: {chunks.schema[c].dataType.simpleString()}" for c in key)
         schema = f"shard string, keys array<struct<{kinds}>>, terms array<string>, begins array<int>, places array<int>, parts array<bigint>, tops array<bigint>"
         return cls(key, _stored(dealt.mapInArrow(_packer(list(key), shard), schema), "shards"))

@@ -29,7 +29,7 @@ def chunk(docs: DataFrame, size: int = 800, overlap: int = 100, id_col: str = "d
 def tokens(c: str | Column) -> Column:
     """Lower-case words of letters and digits."""
     text = F.col(c) if isinstance(c, str) else c
-    return F.filter(F.split(F.lower(text), WORDS), lambda w: F.length(w) > 0)
+    return F.array_remove(F.split(F.lower(text), WORDS), "")
 
 
 def keyword_topk(chunks: DataFrame, queries: DataFrame, k: int, key: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
