@@ -125,6 +125,16 @@ EXTRA: dict[str, str] = {
     # --- streams: the batch answer
     "a_landing_roundtrip": """SELECT invoice_id, supplier, CASE WHEN year(invoice_date) % 2 = 0 THEN 'AUD' END AS currency, site, total_aud,
         CAST(year(invoice_date) AS VARCHAR) AS batch_id FROM silver_invoices""",
+    "a3_json_feed": "SELECT supplier, COUNT(*) AS receipts, CAST(SUM(quantity) AS BIGINT) AS quantity FROM bronze_delivery_receipts GROUP BY 1",
+    "b_table_building": """SELECT division, severity, COUNT(*) AS incidents, TOT(lost_time_days) AS lost_days,
+        (SELECT 2 * COUNT(*) FROM incidents) AS rows_after_two_appends, 'ABSENT,MANAGED,VIEW' AS kinds FROM incidents GROUP BY 1, 2""",
+    "b6_refreshed_copy": "SELECT invoice_id, supplier, payment_status, total_aud, CAST(0 AS INT) AS written_last FROM silver_invoices",
+    "b10_export": "SELECT division, month, total_incidents, total_incidents AS from_json FROM safety_kpis WHERE division IS NOT NULL",
+    "b11_kpi_tables": """SELECT 'project_kpis' AS table_name, COUNT(*) AS row_count FROM project_kpis
+        UNION ALL SELECT 'safety_kpis', COUNT(*) FROM safety_kpis UNION ALL SELECT 'fleet_kpis', COUNT(*) FROM fleet_kpis""",
+    "k6_mirror_view": "SELECT division, COUNT(*) AS row_count FROM financials GROUP BY 1",
+    "r23_type_of_prefix": """SELECT equipment_type, CASE WHEN equipment_type IN ('haul_truck', 'excavator', 'drill', 'loader', 'dozer', 'grader', 'water_cart', 'crane')
+        THEN equipment_type END AS found, COUNT(*) AS readings FROM telemetry GROUP BY 1""",
     "j1_stream_ingest": """SELECT CAST(year(invoice_date) AS VARCHAR) AS batch_id, payment_status, COUNT(*) AS invoices, TOT(total_aud, 3) AS total_aud
         FROM silver_invoices GROUP BY 1, 2""",
     "j3_stream_upsert_latest": """SELECT site, payment_status, invoice_id, CAST(invoice_date AS VARCHAR) AS invoice_date, total_aud

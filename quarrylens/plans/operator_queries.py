@@ -21,10 +21,10 @@ from quarrylens.operators.latest import dedup_latest
 from quarrylens.plans import gold, pipeline, silver
 from quarrylens.plans.rollups import MONEY
 from quarrylens.session import work_dir
-from quarrylens.sources import landing, sinks
+from quarrylens.sources import copies, landing, sinks
 from quarrylens.sources.derived import DELIVERY_ORDER, VIEWS, derived_tables
 from quarrylens.sources.landing import BAD_COLUMNS, as_text, conform
-from quarrylens.sources.schemas import SUPPLIER_INVOICES, schema
+from quarrylens.sources.schemas import DELIVERY_RECEIPTS, INCIDENTS, SUPPLIER_INVOICES, schema
 from quarrylens.sources.tables import Tables
 from quarrylens.streaming import jobs, products
 
@@ -591,3 +591,97 @@ def landing_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     columns = ["invoice_id", "supplier", "currency", "site", "total_aud", "batch_id"]
     good, bad = spark.table(f"{db}.supplier_invoices"), spark.table(f"{db}.supplier_invoices_rejects")
     return good.select(columns).unionByName(bad.select(columns))
+
+
+# --- tables, feeds and exports, written and read back -----------------------
+
+
+def _scratch_db(spark: SparkSession) -> str:
+    db = f"roundtrip_{uuid.uuid4().hex}"
+    sinks.ensure_db(spark, db, "written and read back")
+    return db
+
+
+@stream("a3_json_feed")
+def json_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """Receipts landed as JSON lines, loaded twice, by supplier."""
+    t = derived_tables(spark, folder)
+    root, db = work_dir(spark, "json"), _scratch_db(spark)
+    names = [f.name for f in DELIVERY_RECEIPTS if f.name in t["bronze_delivery_receipts"].columns]
+    t["bronze_delivery_receipts"].select(*names).write.json(f"{root}/landing/20010701/delivery_receipts")
+    path = landing.resolve_batch(spark, f"{root}/landing")
+    for _ in range(2):
+        pipeline.land_feed(spark, path, "delivery_receipts", DELIVERY_RECEIPTS, "json", db, LOADED_AT)
+    return spark.table(f"{db}.delivery_receipts").groupBy("supplier").agg(aggs.n_rows().alias("receipts"), aggs.total_int("quantity").alias("quantity"))
+
+
+@stream("b_table_building")
+def table_building(spark: SparkSession, folder: str) -> DataFrame:
+    """Declared table, appended to, rows replaced, copied, shown by a view; the first table then dropped."""
+    rows = derived_tables(spark, folder)["incidents"].select(*INCIDENTS.names)
+    db = _scratch_db(spark)
+    sinks.ensure_table(spark, f"{db}.incidents", INCIDENTS, partition_by=["severity"], comment="incidents")
+    for _ in range(2):
+        sinks.append(rows.select(*spark.table(f"{db}.incidents").columns), f"{db}.incidents", partition_by=["severity"])
+    twice = spark.table(f"{db}.incidents").count()
+    sinks.overwrite_rows(rows, f"{db}.incidents")
+    sinks.ctas(spark.table(f"{db}.incidents"), f"{db}.kept")
+    sinks.mirror_copy(spark, f"{db}.kept", f"{db}.copied")
+    sinks.define_view(spark, f"{db}.shown", f"SELECT division, severity, lost_time_days FROM {db}.copied", "copied incidents")
+    sinks.drop_if_exists(spark, f"{db}.incidents")
+    kinds = ",".join(sinks.table_kind(spark, f"{db}.{n}") for n in ("incidents", "copied", "shown"))
+    return spark.table(f"{db}.shown").groupBy("division", "severity").agg(
+        aggs.n_rows().alias("incidents"), aggs.total("lost_time_days").alias("lost_days")
+    ).withColumns({"rows_after_two_appends": F.lit(twice).cast("bigint"), "kinds": F.lit(kinds)})
+
+
+@stream("b6_refreshed_copy")
+def refreshed_copy(spark: SparkSession, folder: str) -> DataFrame:
+    """A copy of the invoices in an older state, brought up to date by the ranges that differ."""
+    rows = derived_tables(spark, folder)["silver_invoices"].select("invoice_id", "supplier", "payment_status", "total_aud")
+    target = f"{_scratch_db(spark)}.invoices"
+    number = F.pmod(F.xxhash64("invoice_id"), F.lit(97))
+    older = rows.where(number != 5).withColumn("total_aud", F.when(number == 7, F.col("total_aud") + 1).otherwise(F.col("total_aud")))
+    for state in (older, rows, rows):
+        written = copies.refresh_copy(spark, state, target, ["invoice_id"], 32)
+    return copies.copied(spark, target).withColumn("written_last", F.lit(len(written)))
+
+
+@stream("b10_export")
+def exported(spark: SparkSession, folder: str) -> DataFrame:
+    """Division KPIs exported as CSV and JSON, read back and joined."""
+    rows = derived_tables(spark, folder)["safety_kpis"].select("division", "month", "total_incidents")
+    root = work_dir(spark, "export")
+    sinks.export(rows, f"{root}/csv", "csv", files=1)
+    sinks.export(rows, f"{root}/json", "json")
+    csv = spark.read.schema(rows.schema).option("header", True).csv(f"{root}/csv")
+    json = spark.read.schema(rows.schema).json(f"{root}/json").withColumnRenamed("total_incidents", "from_json")
+    return csv.join(json, ["division", "month"])
+
+
+@stream("b11_kpi_tables")
+def kpi_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """KPI frames stored as tables and counted."""
+    t, db = derived_tables(spark, folder), _scratch_db(spark)
+    names = ("project_kpis", "safety_kpis", "fleet_kpis")
+    for name in names:
+        sinks.replace(t[name], f"{db}.{name}")
+    return sinks.audit_counts({name: spark.table(f"{db}.{name}") for name in names})
+
+
+@stream("k6_mirror_view")
+def mirror_view(spark: SparkSession, folder: str) -> DataFrame:
+    """The unfiltered view shows every division, whatever a filtered frame shows."""
+    t = derived_tables(spark, folder)
+    name = f"unfiltered_{uuid.uuid4().hex}"
+    security.mirror_view(name, t["financials"])
+    return spark.table(name).groupBy("division").agg(aggs.n_rows().alias("row_count"))
+
+
+@demo("r23_type_of_prefix")
+def type_of_prefix(t: Tables) -> DataFrame:
+    """Units renumbered with the prefix of their type, and the type found again."""
+    code = F.create_map(*[F.lit(x) for pair in rules.EQUIPMENT_PREFIXES.items() for x in reversed(pair)])
+    prefix = F.coalesce(F.try_element_at(code, "equipment_type"), F.lit("XX"))
+    named = t["telemetry"].select("equipment_type", F.concat_ws("-", F.lower(prefix), "equipment_id").alias("asset"))
+    return named.groupBy("equipment_type", rules.equipment_type_of("asset").alias("found")).agg(aggs.n_rows().alias("readings"))

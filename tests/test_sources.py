@@ -241,3 +241,25 @@ def test_json_gzip_quotes_and_too_wide_headers(spark, tmp_path):
     with pytest.raises(Exception, match="too many columns"):
         landing.read_feed(spark, f"{tmp_path}/w", "csv", SHORT, text=True).collect()
     assert landing.read_feed(spark, f"{tmp_path}/none", "csv", SHORT, text=True).count() == 0
+
+
+def test_a_changed_row_rewrites_one_range(spark):
+    from quarrylens.sources import copies
+
+    sinks.ensure_db(spark, "t_copies")
+    rows = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("v"), F.lit(None).cast("int").alias("w"))
+    rows = rows.unionAll(rows.where("k = 5")).union(spark.createDataFrame([(None, "n", 1)], rows.schema))
+    refresh = lambda df: copies.refresh_copy(spark, df, "t_copies.c", ["k"], 16)
+    same = lambda df: df.exceptAll(copies.copied(spark, "t_copies.c")).count() == 0 == copies.copied(spark, "t_copies.c").exceptAll(df).count()
+    assert len(refresh(rows)) == 16 and same(rows)
+    assert refresh(rows.repartition(7)) == []
+    changed = rows.withColumn("v", F.when(F.col("k") == 9, F.lit("x")).otherwise(F.col("v")))
+    assert len(refresh(changed)) == 1 and same(changed)
+    # A NULL that moves to another column, a copy less of a repeated row, a range that goes empty.
+    moved = changed.withColumn("w", F.when(F.col("k") == 6, F.lit(6)).otherwise(F.col("w")))
+    assert len(refresh(moved)) == 1 and same(moved)
+    assert len(refresh(moved.distinct())) == 1 and same(moved.distinct())
+    few = moved.where("k = 9")
+    assert len(refresh(few)) == 16 and same(few)
+    with pytest.raises(ValueError):
+        refresh(few.drop("w"))
