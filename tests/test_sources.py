@@ -248,7 +248,7 @@ def test_a_changed_row_rewrites_one_range(spark):
 
     sinks.ensure_db(spark, "t_copies")
     rows = spark.range(200).select(F.col("id").alias("k"), F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("v"), F.lit(None).cast("int").alias("w"))
-    rows = rows.unionAll(rows.where("k = 5")).union(spark.createDataFrame([(None, "n", 1)], rows.schema))
+    rows = rows.unionAll(rows.where("k = 5")).union(spark.createDataFrame([(None, "n", 1)], "k bigint, v string, w int"))
     refresh = lambda df: copies.refresh_copy(spark, df, "t_copies.c", ["k"], 16)
     same = lambda df: df.exceptAll(copies.copied(spark, "t_copies.c")).count() == 0 == copies.copied(spark, "t_copies.c").exceptAll(df).count()
     assert len(refresh(rows)) == 16 and same(rows)
