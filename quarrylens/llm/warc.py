@@ -191,12 +191,15 @@ def read_archives(spark: SparkSession, path: str, split_bytes: int = SPLIT_BYTES
     """One row per record of the archives below ``path``.
 
     Files are cut into ranges of ``split_bytes``; a task owns the members that begin in its range.
+    Ranges are dealt out one by one to as many tasks: a range is a few bytes for the planner, which
+    would otherwise join them all in one task.
     ``payloads=False`` leaves that column null.  Digests of responses are those of the payload
     read, of revisits those in the header.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
     starts = F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(split_bytes).cast("bigint"))
-    ranges = files.where("length > 0").select("path", "length", F.explode(starts).alias("start")).repartition("path", "start")
+    ranges = files.where("length > 0").select("path", "length", F.explode(starts).alias("start"))
+    ranges = ranges.repartition(max(1, ranges.count()))
     names = ["record_id", "record_type", "target_uri", "refers_to", "payload", "payload_bytes", "payload_digest"]
     kinds = [pa.string()] * 4 + [pa.binary(), pa.int64(), pa.string()]
     schema = pa.schema(list(zip(names, kinds)))

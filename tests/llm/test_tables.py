@@ -7,17 +7,21 @@ import gzip
 import hashlib
 import io
 import math
+import random
 import zlib
 from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import public_tokenizers
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
 from llm.data import DOC_SCHEMA, doc, frame
-from llm.test_text_operators import brute_groups
-from quarrylens.llm import embeddings, url_filter, warc
+from llm.test_text_operators import brute_contamination, brute_groups, brute_prints, labelled
+from quarrylens.llm import embeddings, lines, quality, url_filter, warc
 from quarrylens.llm.common import components
 from quarrylens.llm.queries import ORACLES, QUERIES, RULES
 from quarrylens.session import work_dir
@@ -152,6 +156,9 @@ def test_archives(spark):
         got = Counter(("0" if r.k == "0" else r.k, *tuple(r)[1:5]) for r in out)
         assert got == Counter({("0" if k[0] == 0 else k[0], *k[1:]): n for k, n in expect.items()})
         assert all(hashlib.sha1(r.payload).digest() == base64.b32decode(r.payload_digest) for r in out if r.record_type == "response")
+    # Every range is a task of its own, also under adaptive execution.
+    cut = warc.read_archives(spark, path, 10_000, payloads=False).withColumn("task", F.spark_partition_id())
+    assert cut.select("task").distinct().count() > 3
     # Any gzip reader can read the files.
     file = next(p for p in Path(path.removeprefix("file:")).glob("part-*") if p.stat().st_size)
     assert gzip.decompress(file.read_bytes()).startswith(b"WARC/1.1\r\n")
@@ -213,6 +220,61 @@ def test_pipeline(spark):
     assert packed.select("doc_id").distinct().count() == seen
 
 
+def planted(spark):
+    """Good and bad documents, near copies, a menu line per source, passages of the benchmark."""
+    rng = random.Random(3)
+    base = [tuple(r) for r in labelled(spark, 400)[0].collect()]
+    quiet = [f"{w}{n}" for w in ("river", "stone", "green", "house", "walks") for n in range(60)]
+    passage = lambda n: " ".join(rng.choice(quiet) for _ in range(n))
+    rows = [doc(i, r[1], f"s{i % 4}") for i, r in enumerate(base)]
+    rows += [doc(1000 + i, f"Menu | home\n{passage(40)}\nContact us", "s1") for i in range(30)]
+    rows += [doc(1100 + i, f"{passage(30)}\nonly thrice {i % 40}", "s2") for i in range(60)]
+    long = passage(300)
+    rows += [doc(1200 + i, long + f" end{i}" * (i % 3), "s3") for i in range(25)]
+    rows += [doc(1240 + i, long, None) for i in range(3)]
+    items = [(f"q{i}", passage(25)) for i in range(6)] + [("short", passage(6)), ("none", None)]
+    rows += [doc(1300 + i, f"{passage(50)} {items[i % 7][1]} {passage(50)}", f"s{i % 3}") for i in range(20)]
+    rows += [doc(1400, passage(6000)), doc(1401, None), doc(1402, "")]
+    return rows, items
+
+
+def brute_pipeline(rows, items, is_good):
+    """The stages up to packing, over (doc_id, text, source)."""
+    docs = [r for r in rows if is_good(r)]
+    pages, on = Counter(r[2] for r in docs), Counter()
+    for _, text, source in docs:
+        on.update({(source, line.strip(" ")) for line in (text or "").split("\n") if line.strip(" ")})
+    gone = {key for key, n in on.items() if n >= lines.MIN_PAGES and n > lines.RATIO * pages[key[0]]}
+    short = lambda text, source: "\n".join(x for x in text.split("\n") if (source, x.strip(" ")) not in gone)
+    docs = [(k, text if text is None else short(text, source)) for k, text, source in docs]
+    prints = {k: brute_prints(text) for k, text in docs}
+    root = brute_groups(list(prints), lambda a, b: (prints[a] ^ prints[b]).bit_count() <= 2)
+    docs = [(k, text) for k, text in docs if root[k] == k]
+    hit = brute_contamination([(k, text or "") for k, text in docs], items)
+    return [(k, text) for k, text in docs if not hit[k][4]], len(gone), sum(v[4] for v in hit.values())
+
+
+def test_pipeline_against_brute_force(spark, tmp_path):
+    rows, items = planted(spark)
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    good = spark.createDataFrame([(r[0], 1, 0) for r in rows if r[0] >= 1000], "doc_id bigint, quality int, toxic int")
+    labelled(spark, 400)[1].unionByName(good).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(items, "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{n}.parquet") for n in ("documents", "labels"))
+    scored = {r.doc_id: r.score >= 0.3 for r in quality.classify(docs, labels).collect()}
+    kept, n_lines, n_hit = brute_pipeline([(r[0], r[1], r[3]) for r in rows], items, lambda r: scored[r[0]])
+    assert 100 < len(kept) < sum(scored.values()) < len(rows) and n_lines >= 2 and n_hit >= 15
+    tokens = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expect = Counter()
+    for key, text in kept:
+        ids = np.array([*tokens.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        for at in range(0, len(ids), 4096):
+            piece = ids[at : at + 4096]
+            expect[(key, at, len(piece), zlib.crc32(piece.tobytes()), len(ids))] += 1
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in out) == expect
+
+
 def test_pipeline_stages_on_edge_rows(spark):
     rows = frame(spark)
     for _, stage in corpus_pipeline.STAGES[:-1]:
