@@ -171,9 +171,15 @@ def contamination(
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that share no window with a benchmark item, with their columns."""
-    bad = contamination(docs, items).where("contaminated").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+    """The documents that share no window with a benchmark item, with their columns.
+
+    A hit depends on the text alone, so texts are marked, by digest: rows with a null id and rows
+    that repeat an id with another text are judged each by its own text.  Null texts stay.
+    """
+    digest = lambda text: F.unhex(F.sha2(text, 256))
+    texts = docs.where(F.col("text").isNotNull()).select(digest(F.col("text")).alias("doc_id"), "text")
+    bad = contamination(texts, items).where("contaminated").select(F.col("doc_id").alias("bad_text")).distinct()
+    return docs.join(bad, digest(docs["text"]) == bad["bad_text"], "left_anti")
 
 
 ORACLE = r"""

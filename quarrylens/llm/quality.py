@@ -213,15 +213,20 @@ def classify(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows that the classifier does not reject, with their columns."""
+    """The rows that the classifier does not reject, with their columns.
+
+    Scores are those of ``score``: without a column ``n_chars`` that input counts as null.
+    """
     model = fit(docs, labels, train=~held_out(F.col("id"), FOLDS))
+    text_at = docs.columns.index("text")
+    chars_at = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 
     def good(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = part.column(part.schema.get_field_index("text")).to_pylist()
-                chars = part.column(part.schema.get_field_index("n_chars")).to_pylist()
+                texts = part.column(text_at).to_pylist()
+                chars = [None] * len(texts) if chars_at is None else part.column(chars_at).cast(pa.float64()).to_pylist()
                 words = np.zeros((len(texts), WORD_BUCKETS), np.float32)
                 stats = np.zeros((len(texts), STATS), np.float32)
                 for row, (text, n) in enumerate(zip(texts, chars)):

@@ -12,6 +12,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from llm.data import doc, documents, frame
@@ -84,6 +85,9 @@ def test_contamination_null_ids_and_empty_tables(spark):
     rows = frame(spark, [doc(None, "Alpha, beta"), doc(None, "no")])
     assert sorted(r.contaminated for r in decontaminate.contamination(rows, bench).collect()) == [True, True]
     assert decontaminate.contamination(frame(spark, []), bench).count() == 0
+    rows = [doc(None, "Alpha, beta"), doc(None, "no"), doc(None, None), doc(1, "clean"), doc(1, "alpha beta gamma"), doc(1, "clean")]
+    kept = decontaminate.keep_clean(frame(spark, rows), bench).collect()
+    assert sorted(((r.doc_id or 0), r.text or "") for r in kept) == [(0, ""), (0, "no"), (1, "clean"), (1, "clean")]
     none = decontaminate.contamination(frame(spark), bench.limit(0)).collect()
     assert len(none) == len(documents()) and not any(r.contaminated for r in none)
 
@@ -147,6 +151,15 @@ def test_quality_edge_rows(spark):
     assert quality.classify(frame(spark, []), labels).count() == 0
 
 
+def test_keep_good_without_length_column(spark):
+    docs, labels = labelled(spark)
+    bare = docs.drop("n_chars").withColumn("clicks", F.col("doc_id") * 1000)
+    good = {r.doc_id for r in quality.classify(bare, labels).collect() if r.predicted}
+    for table in (bare, bare.select("clicks", *bare.drop("clicks").columns)):
+        kept = quality.keep_good(table, labels)
+        assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == good
+
+
 # --- 5: language model ---
 
 
