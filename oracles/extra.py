@@ -62,6 +62,8 @@ EXTRA: dict[str, str] = {
     "k3_mask_budget": """SELECT project_id, reporting_period, RND(budget_aud / CAST(1e5 AS DOUBLE), 0) * CAST(1e5 AS DOUBLE) AS masked_budget FROM financials""",
     "k4_membership_semi_join": f"""SELECT division, status, COUNT(*) AS row_count FROM telemetry
         WHERE division IN (SELECT division FROM ({VISIBLE}) WHERE principal = 'user-1') GROUP BY 1, 2""",
+    "k4_rights_bitmaps": f"""SELECT principal, SUM(n)::BIGINT AS documents FROM ({VISIBLE})
+        JOIN (SELECT division, COUNT(DISTINCT incident_id) AS n FROM incidents GROUP BY 1) USING (division) GROUP BY 1""",
     "k5_role_policy": """SELECT 'incidents' AS table_name, CNT(division = 'EUROPE') AS row_count FROM incidents
         UNION ALL SELECT 'financials', 0""",
     "k7_verify_visibility": f"""SELECT principal, table_name, division, row_count FROM ({VISIBLE}) JOIN (
@@ -179,6 +181,9 @@ EXTRA: dict[str, str] = {
         WHERE rank <= 10""",
     "s4_filtered_search": f"""WITH {keyword(CHUNKS, 'doc_id, chunk_no', 3,
         "WHERE lang IN ('en', 'fr') AND CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 3 = 1")} SELECT query_id, doc_id, chunk_no, score, rank FROM kw""",
+    "s4_visible_documents": """SELECT principal, COUNT(DISTINCT doc_id) AS documents
+        FROM (SELECT 'user-' || c_custkey AS principal, c_custkey % 5 AS g FROM customer)
+        JOIN (SELECT doc_id, CAST(regexp_extract(source, '([0-9]+)', 1) AS INT) % 3 AS g FROM documents) USING (g) GROUP BY 1""",
     "s5_execution_match": "SELECT CAST(0 AS BIGINT) AS missing_rows, CAST(0 AS BIGINT) AS extra_rows, true AS is_match",
     "s6_eval_rollup": """SELECT run_id, evaluator, items, pass_rate_pct, mean_score, target_mean, target_pct,
         COALESCE(mean_score >= target_mean, pass_rate_pct >= target_pct) AS meets_target, change_pct,

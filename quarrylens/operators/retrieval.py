@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quarrylens.functions.numeric import ratio, rnd
 from quarrylens.operators.keyword_index import UNIT, KeywordIndex
+from quarrylens.operators.rights import RightsIndex
 from quarrylens.operators.vector_index import VectorIndex
 
 WORDS = r"[^\p{L}\p{N}]+"
@@ -117,9 +118,15 @@ def search(
     memberships: DataFrame | None = None,
     principal: str | None = None,
     on: str = "source",
+    rights: RightsIndex | None = None,
 ) -> DataFrame:
-    """Keyword search over chunks of the documents that pass the filters and the caller's grants."""
+    """Keyword search over chunks of the documents that pass the filters and the caller's grants.
+
+    With ``rights`` the grants are tested by bitmaps, without it by a semi join on ``on``.
+    """
     rows = docs if filters is None else docs.filter(filters)
-    if principal is not None:
+    if principal is not None and rights is not None:
+        rows = rights.restrict(rows, principal, memberships, acl)
+    elif principal is not None:
         rows = allowed(rows, acl, principal, memberships, on)
     return keyword_topk(chunk(rows), queries, k, ["doc_id", "chunk_no"])

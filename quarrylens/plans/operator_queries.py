@@ -18,6 +18,7 @@ from quarrylens.functions.predicates import after_hour, month_start
 from quarrylens.functions.vocab import canonicalise_vocab
 from quarrylens.operators import evaluate, retrieval, security, windows
 from quarrylens.operators.latest import dedup_latest
+from quarrylens.operators.rights import RightsIndex
 from quarrylens.plans import gold, pipeline, silver
 from quarrylens.plans.rollups import MONEY
 from quarrylens.session import work_dir
@@ -487,18 +488,40 @@ def hybrid(t: Tables) -> DataFrame:
     return retrieval.fuse_ranks(words, near, 10, ["doc_id"]).drop("score")
 
 
-@demo("s4_filtered_search")
-def filtered(t: Tables) -> DataFrame:
-    """Only sources granted to the caller's groups, only two languages."""
+def document_grants(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """Sources per group, and groups per customer."""
     number = F.regexp_extract("source", r"(\d+)", 1).cast("int")
     acl = t["documents"].select("source", F.concat(F.lit("Group-"), (number % 3).cast("string")).alias("group_name")).distinct()
     grants = t["customer"].select(
         F.concat(F.lit("user-"), F.col("c_custkey").cast("string")).alias("principal"),
         F.concat(F.lit("Group-"), (F.col("c_custkey") % 5).cast("string")).alias("group_name"),
     )
-    return retrieval.search(
-        t["documents"], keyword_queries(t), 3, F.col("lang").isin("en", "fr"), acl, grants, "user-1", "source"
-    )
+    return acl, grants
+
+
+@demo("s4_filtered_search")
+def filtered(t: Tables) -> DataFrame:
+    """Only sources granted to the caller's groups, only two languages."""
+    acl, grants = document_grants(t)
+    rights = RightsIndex.build(t["documents"])
+    chosen = F.col("lang").isin("en", "fr")
+    return retrieval.search(t["documents"], keyword_queries(t), 3, chosen, acl, grants, "user-1", "source", rights)
+
+
+@demo("s4_visible_documents")
+def visible_documents(t: Tables) -> DataFrame:
+    """Documents each principal may search."""
+    acl, grants = document_grants(t)
+    return RightsIndex.build(t["documents"]).counts(grants, acl)
+
+
+@demo("k4_rights_bitmaps")
+def rights_bitmaps(t: Tables) -> DataFrame:
+    """Incidents per principal under the division rule; executives are granted every division."""
+    mapping = group_mapping(t)
+    acl = mapping.unionByName(mapping.select(F.lit(security.EXECUTIVES).alias("group_name"), "division"))
+    numbered = t["incidents"].select("division", F.substring("incident_id", 5, 20).cast("bigint").alias("number"))
+    return RightsIndex.build(numbered, "division", "number").counts(memberships(t), acl)
 
 
 @demo("s5_execution_match")

@@ -16,6 +16,7 @@ from quarrylens.operators import joins, retrieval, windows
 from quarrylens.operators.evaluate import eval_rollup, execution_match
 from quarrylens.operators.keyword_index import KeywordIndex
 from quarrylens.operators.latest import latest_snapshot, latest_with_ties
+from quarrylens.operators.rights import RightsIndex
 from quarrylens.operators.vector_index import VectorIndex
 
 FEW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -220,6 +221,44 @@ def test_search_respects_grants_and_filters(spark):
     assert find("ana") == [2] and find("bob") == []
 
 
+ACL = "group_name string, source string"
+NUMBERS = st.one_of(st.integers(-70000, 70000), st.sampled_from([0, 1, 32767, 32768, 32769, -32768, 2**40, -(2**40)]))
+
+
+@FEW
+@given(
+    st.lists(st.tuples(NUMBERS, st.sampled_from(["a", "b", "c", None])), max_size=40),
+    st.lists(st.tuples(st.sampled_from(["g", "h"]), st.sampled_from(["a", "b", "x"])), max_size=4),
+    st.lists(st.tuples(st.sampled_from(["ana", "bob"]), st.sampled_from(["g", "h", "none"])), max_size=4),
+)
+def test_rights_bitmaps_equal_grants(spark, tmp_path_factory, docs, acl, members):
+    rows = spark.createDataFrame([*docs, (None, "a")], "doc_id bigint, source string").withColumn("_bits", F.lit("kept"))
+    grants, people = spark.createDataFrame(acl, ACL), spark.createDataFrame(members, "principal string, group_name string")
+    # A document under two sources is seen by those who are granted either.
+    seen = {p: {d for d, s in docs for g, granted in acl if s == granted and (p, g) in members} for p in ("ana", "bob")}
+    path = str(tmp_path_factory.mktemp("rights") / "index")
+    half = RightsIndex.build(rows.where("doc_id % 2 = 0")).extend(rows.where("doc_id % 2 <> 0 or doc_id is null"))
+    half.save(path)
+    for index in (RightsIndex.build(rows), RightsIndex.load(spark.read.parquet(path))):
+        for p, expect in seen.items():
+            kept = index.restrict(rows, p, people, grants)
+            assert kept.columns == rows.columns
+            assert Counter(r["doc_id"] for r in kept.collect()) == Counter(d for d, _ in docs if d in expect)
+        counts = {r["principal"]: r["documents"] for r in index.counts(people, grants).collect()}
+        assert counts == {p: len(s) for p, s in seen.items() if s}
+
+
+def test_rights_change_without_new_bitmaps(spark):
+    docs = spark.createDataFrame([(n, "ops" if n % 3 else "hr") for n in range(100)], "doc_id int, source string")
+    index = RightsIndex.build(docs)
+    people = spark.createDataFrame([("ana", "g")], "principal string, group_name string")
+    see = lambda acl: index.restrict(docs, "ana", people, spark.createDataFrame(acl, ACL)).count()
+    assert (see([("g", "hr")]), see([("g", "hr"), ("g", "ops")]), see([("h", "hr")])) == (34, 100, 0)
+    # Documents meet one row per range, never the grants.
+    plan = index.restrict(docs, "ana", people, spark.createDataFrame([("g", "hr")], ACL))._jdf.queryExecution().toString()
+    assert "bitmap_or_agg" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
 def test_rank_fusion(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id int, doc_id int, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, doc_id int, rank int")
