@@ -176,10 +176,14 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     A hit depends on the text alone, so texts are marked, by digest: rows with a null id and rows
     that repeat an id with another text are judged each by its own text.  Null texts stay.
     """
-    digest = lambda text: F.unhex(F.sha2(text, 256))
-    texts = docs.where(F.col("text").isNotNull()).select(digest(F.col("text")).alias("doc_id"), "text")
-    bad = contamination(texts, items).where("contaminated").select(F.col("doc_id").alias("bad_text")).distinct()
-    return docs.join(bad, digest(docs["text"]) == bad["bad_text"], "left_anti")
+    name = "_digest"
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    # A column of its own, so that the join does not hash a text again for each comparison.
+    marked = docs.withColumn(name, F.unhex(F.sha2("text", 256)))
+    texts = marked.where(F.col("text").isNotNull()).select(F.col(name).alias("doc_id"), "text")
+    bad = contamination(texts, items).where("contaminated").select(F.col("doc_id").alias(name)).distinct()
+    return marked.join(bad, name, "left_anti").drop(name)
 
 
 ORACLE = r"""
