@@ -5,7 +5,8 @@ by many tasks and small ones share a task.  Every byte is read once, but for the
 of a CSV file takes from the file's beginning.  Rows carry the raw line and the place of each
 declared column in the file's own header; parsing stays with Spark's expressions
 (:func:`quarrylens.sources.landing.feed_rows`).  A filter on ``_batch``, the folder that the
-pattern's first wildcard stands for, prunes the listing.
+pattern's first wildcard stands for, prunes the listing where the session lets Python sources take
+filters (``spark.sql.python.filterPushdown.enabled``); elsewhere Spark filters the rows.
 
 As a stream the offset is the number of entries in a log of file names, kept beside the checkpoint:
 an entry names the new files of one micro-batch, at most ``files_per_trigger``.
@@ -201,9 +202,17 @@ class _Reading:
                 )
 
 
-class FeedReader(_Reading, DataSourceReader):
+class PlainFeedReader(_Reading, DataSourceReader):
     batches: set[str] | None = None
 
+    def partitions(self) -> list[Ranges]:
+        found = {f for p in self.patterns for f in find(p, self.batches)}
+        return deal(sorted(found, key=lambda f: f.path), self.range_bytes) or [Ranges([])]
+
+
+class FeedReader(PlainFeedReader):
+    """Takes filters; Spark refuses a reader with this method where its setting is off."""
+
     def pushFilters(self, filters: list[Filter]) -> Iterable[Filter]:
         for f in filters:
             if isinstance(f, (EqualTo, In)) and f.attribute == ("_batch",):
@@ -212,10 +221,6 @@ class FeedReader(_Reading, DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Ranges]:
-        found = {f for p in self.patterns for f in find(p, self.batches)}
-        return deal(sorted(found, key=lambda f: f.path), self.range_bytes) or [Ranges([])]
-
 
 class FeedStreamReader(_Reading, DataSourceStreamReader):
     def __init__(self, options: dict[str, str]):
@@ -258,7 +263,7 @@ class FeedStreamReader(_Reading, DataSourceStreamReader):
 
 
 class LandingFeed(DataSource):
-    """Options: ``paths`` and ``columns`` (JSON lists), ``format``, ``range_bytes``; for streams ``log``, ``files_per_trigger``."""
+    """Options: ``paths`` and ``columns`` (JSON lists), ``format``, ``range_bytes``, ``prune``; for streams ``log``, ``files_per_trigger``."""
 
     @classmethod
     def name(cls) -> str:
@@ -268,7 +273,7 @@ class LandingFeed(DataSource):
         return SCHEMA
 
     def reader(self, schema: StructType) -> DataSourceReader:
-        return FeedReader(self.options)
+        return (FeedReader if self.options.get("prune") == "true" else PlainFeedReader)(self.options)
 
     def streamReader(self, schema: StructType) -> DataSourceStreamReader:
         return FeedStreamReader(self.options)
@@ -277,5 +282,6 @@ class LandingFeed(DataSource):
 def feed_options(spark: SparkSession, paths: list[str], columns: list[str], fmt: str, **more: object) -> dict[str, str]:
     """Register the source with the session and spell out its options."""
     spark.dataSource.register(LandingFeed)
-    out = {"paths": json.dumps(paths), "columns": json.dumps(columns), "format": fmt}
+    prune = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower()
+    out = {"paths": json.dumps(paths), "columns": json.dumps(columns), "format": fmt, "prune": prune}
     return out | {name: str(value) for name, value in more.items()}

@@ -224,6 +224,21 @@ def test_folders_are_pruned_and_small_files_share_a_task(spark, tmp_path, monkey
     assert reader.batches == {"b3"} and len(left) == 1 and len(reader.partitions()[0].pieces) == 3
 
 
+def test_feeds_are_read_where_sources_take_no_filters(spark, tmp_path):
+    """A session made by others has the setting off, as Spark's default is."""
+    for b in ("b1", "b2"):
+        (tmp_path / b / "f").mkdir(parents=True)
+        (tmp_path / b / "f" / "a.csv").write_text(f"ping_id,speed_kmh\n{b},1.5\n")
+    setting = "spark.sql.python.filterPushdown.enabled"
+    spark.conf.set(setting, "false")
+    try:
+        rows = landing.read_lines(spark, f"{tmp_path}/*/f", "csv", SHORT)
+        assert sorted(r["ping_id"] for r in rows.collect()) == ["b1", "b2"]
+        assert [r["ping_id"] for r in rows.where("_batch = 'b2'").collect()] == ["b2"]
+    finally:
+        spark.conf.set(setting, "true")
+
+
 def test_json_gzip_quotes_and_too_wide_headers(spark, tmp_path):
     import gzip
 
