@@ -67,7 +67,8 @@ def newest_rows(
     Without ``silent_for`` a key is kept for ever and late rows compete like any other.  With it
     a key is forgotten once the watermark (``event_time`` less ``delay``) is that far beyond its
     newest row, and rows behind the watermark are not read.  Times enter the state as whole
-    microseconds, so no worker's time zone can change them.
+    microseconds, so no worker's time zone can change them.  Start the query under
+    :func:`quarrylens.streaming.jobs.operator_state`, or in a session with RocksDB state.
     """
     names = [c for c in df.columns if c not in keys]
     times = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}

@@ -205,6 +205,20 @@ def test_newest_state_with_late_rows_and_restart(spark, tmp_path):
     assert str(table.read().where("k = 'a'").first()["at"]) == "2025-01-02 00:00:00"
 
 
+def test_newest_state_in_a_session_with_another_state_store(spark, tmp_path):
+    """Spark's default store has no operator state; the session's own setting is left as it was."""
+    plain, provider = spark.newSession(), "spark.sql.streaming.stateStore.providerClass"
+    other = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    plain.conf.set(provider, other)
+    src = str(tmp_path / "src")
+    put(spark, src, "x", [("a", 1, "2025-01-02 00:00:00"), ("a", 2, None), ("b", 1, None)])
+    source = jobs.read_stream(plain, src, "parquet", SCHEMA)
+    query, table = jobs.stream_latest(source, str(tmp_path / "t"), ["k"], ["at", "v"], str(tmp_path / "ckpt"), buckets=1)
+    jobs.run_to_end(query)
+    assert contents(table.read()) == {"a": 1, "b": 1}
+    assert plain.conf.get(provider) == other
+
+
 def test_silent_keys_are_forgotten(spark, tmp_path):
     src, path, ckpt = (str(tmp_path / n) for n in ("src", "t", "ckpt"))
     seen = []
