@@ -61,9 +61,18 @@ class RightsIndex:
         return _either(self.by_group(acl).join(members, "group_name"), "principal")
 
     def counts(self, memberships: DataFrame, acl: DataFrame) -> DataFrame:
-        """``principal`` and ``documents``: how many each may see; those who see none are left out."""
-        seen = self.by_principal(memberships, acl)
-        return seen.groupBy("principal").agg(F.sum(F.bitmap_count("_bits")).alias("documents"))
+        """``principal`` and ``documents``: how many each may see; those who see none are left out.
+
+        Principals in the same granted groups see the same: bitmaps are united and counted once per
+        set of groups, never per principal.
+        """
+        granted = acl.select("group_name").distinct()
+        members = memberships.select("principal", "group_name").join(granted, "group_name", "left_semi")
+        sets = members.groupBy("principal").agg(F.sort_array(F.collect_set("group_name")).alias("_groups"))
+        classes = sets.select("_groups").distinct().withColumn("group_name", F.explode("_groups"))
+        either = self.by_group(acl).join(classes, "group_name").groupBy("_groups", "_range").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+        seen = either.groupBy("_groups").agg(F.sum(F.bitmap_count("_bits")).alias("documents"))
+        return sets.join(seen, "_groups").select("principal", "documents")
 
     def restrict(self, docs: DataFrame, principal: str, memberships: DataFrame, acl: DataFrame) -> DataFrame:
         """The rows of ``docs`` that the principal may see, with their columns."""

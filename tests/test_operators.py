@@ -259,6 +259,19 @@ def test_rights_change_without_new_bitmaps(spark):
     assert "bitmap_or_agg" in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+def test_rights_are_counted_once_per_set_of_groups(spark):
+    docs = spark.createDataFrame([(n, "ops" if n % 3 else "hr") for n in range(100)], "doc_id int, source string")
+    members = [(f"p{n}", g) for n in range(30) for g in (("g", "h") if n % 2 else ("g",))] + [("alone", "none"), ("alone", None), (None, "h")]
+    people = spark.createDataFrame(members, "principal string, group_name string")
+    counts = RightsIndex.build(docs).counts(people, spark.createDataFrame([("g", "hr"), ("h", "ops"), ("h", "hr")], ACL))
+    seen = {r["principal"]: r["documents"] for r in counts.collect()}
+    assert seen == {f"p{n}": 100 if n % 2 else 34 for n in range(30)} | {None: 100}
+    # No bitmap is held per principal.
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    united = [line for line in plan.splitlines() if "bitmap_or_agg" in line]
+    assert united and not any("principal" in line for line in united)
+
+
 def test_rank_fusion(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "query_id int, doc_id int, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2)], "query_id int, doc_id int, rank int")
