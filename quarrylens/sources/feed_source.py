@@ -1,7 +1,7 @@
 """Landing feeds as a data source: lines of CSV or JSON files, in batches and in streams.
 
 A partition is a set of byte ranges; a range owns the lines that begin in it, so large files are read
-by many tasks and small ones share a task.  Every byte is read once, but for the header line, which each range
+by many tasks and small ones share a task; what is read at once is dealt over the session's cores.  Every byte is read once, but for the header line, which each range
 of a CSV file takes from the file's beginning.  Rows carry the raw line and the place of each
 declared column in the file's own header; parsing stays with Spark's expressions
 (:func:`quarrylens.sources.landing.feed_rows`).  A filter on ``_batch``, the folder that the
@@ -110,6 +110,11 @@ def deal(found: Iterable[Found], range_bytes: int) -> list[Ranges]:
     return out
 
 
+def share(found: Iterable[Found], range_bytes: int, cores: int) -> int:
+    """Bytes of a range that give each core one, a block at least and ``range_bytes`` at most."""
+    return min(range_bytes, max(BLOCK, -(-sum(f.size for f in found) // cores)))
+
+
 def _header(line: bytes) -> list[str]:
     text = line.decode("utf-8", "replace").removeprefix("﻿").rstrip("\r")
     return [n.strip() for n in next(csv.reader([text]), [])]
@@ -173,6 +178,10 @@ class _Reading:
         self.columns = json.loads(options["columns"])
         self.csv = options.get("format", "csv") == "csv"
         self.range_bytes = int(options.get("range_bytes", RANGE))
+        self.cores = int(options.get("cores", 1))
+
+    def dealt(self, found: list[Found]) -> list[Ranges]:
+        return deal(found, share(found, self.range_bytes, self.cores)) or [Ranges([])]
 
     def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
         for path, batch, begin, end in partition.pieces:
@@ -207,7 +216,7 @@ class PlainFeedReader(_Reading, DataSourceReader):
 
     def partitions(self) -> list[Ranges]:
         found = {f for p in self.patterns for f in find(p, self.batches)}
-        return deal(sorted(found, key=lambda f: f.path), self.range_bytes) or [Ranges([])]
+        return self.dealt(sorted(found, key=lambda f: f.path))
 
 
 class FeedReader(PlainFeedReader):
@@ -231,6 +240,8 @@ class FeedStreamReader(_Reading, DataSourceStreamReader):
         entries = [i.base_name for i in _children(self.log, self.inner) if i.base_name.endswith(".json")]
         self.done = len(entries)
         self.seen = {f["path"] for n in range(1, self.done + 1) for f in self._entry(n)}
+        # Files of the last listing that no entry names yet; the folders are listed again when there are none.
+        self.waiting: list[Found] = []
 
     def _name(self, number: int) -> str:
         return f"{self.inner}/{number:012d}.json"
@@ -243,8 +254,10 @@ class FeedStreamReader(_Reading, DataSourceStreamReader):
         return {"entries": 0}
 
     def latestOffset(self) -> dict:
-        fresh = [f for p in self.patterns for f in find(p) if f.path not in self.seen]
-        fresh = sorted(set(fresh), key=lambda f: (f.changed, f.path))[: self.limit]
+        if not self.waiting:
+            fresh = {f for p in self.patterns for f in find(p) if f.path not in self.seen}
+            self.waiting = sorted(fresh, key=lambda f: (f.changed, f.path))
+        fresh = self.waiting[: self.limit]
         if fresh:
             draft = f"{self.inner}/.draft-{self.done + 1}"
             with self.log.open_output_stream(draft) as file:
@@ -252,18 +265,19 @@ class FeedStreamReader(_Reading, DataSourceStreamReader):
             self.log.move(draft, self._name(self.done + 1))
             self.done += 1
             self.seen.update(f.path for f in fresh)
+            self.waiting = self.waiting[self.limit :]
         return {"entries": self.done}
 
     def partitions(self, start: dict, end: dict) -> list[Ranges]:
         found = [Found(**f) for n in range(start["entries"] + 1, end["entries"] + 1) for f in self._entry(n)]
-        return deal(found, self.range_bytes) or [Ranges([])]
+        return self.dealt(found)
 
     def commit(self, end: dict) -> None:
         """The log stays: it says which files were seen."""
 
 
 class LandingFeed(DataSource):
-    """Options: ``paths`` and ``columns`` (JSON lists), ``format``, ``range_bytes``, ``prune``; for streams ``log``, ``files_per_trigger``."""
+    """Options: ``paths`` and ``columns`` (JSON lists), ``format``, ``range_bytes``, ``cores``, ``prune``; for streams ``log``, ``files_per_trigger``."""
 
     @classmethod
     def name(cls) -> str:
@@ -284,4 +298,5 @@ def feed_options(spark: SparkSession, paths: list[str], columns: list[str], fmt:
     spark.dataSource.register(LandingFeed)
     prune = spark.conf.get("spark.sql.python.filterPushdown.enabled", "false").lower()
     out = {"paths": json.dumps(paths), "columns": json.dumps(columns), "format": fmt, "prune": prune}
+    out["cores"] = str(spark.sparkContext.defaultParallelism)
     return out | {name: str(value) for name, value in more.items()}

@@ -36,6 +36,16 @@ def as_text(schema: T.StructType) -> T.StructType:
 EXTRA_COLUMNS = 64
 
 
+def filled(line: str, size: int) -> Column:
+    """A CSV line without quotes filled up to ``size`` cells, others as they are.
+
+    A line that is shorter than the parser expects costs it an exception; without quotes its cells are its commas and one.
+    """
+    commas = F.length(line) - F.length(F.replace(F.col(line), F.lit(","), F.lit("")))
+    longer = F.concat(line, F.repeat(F.lit(","), (F.lit(size - 1) - commas).cast("int")))
+    return F.when(F.contains(F.col(line), F.lit('"')), F.col(line)).otherwise(longer)
+
+
 def feed_rows(lines: DataFrame, fmt: str, schema: T.StructType) -> DataFrame:
     """Lines of the landing source as cells of text under the declared names, ``_batch`` and ``_source_file``.
 
@@ -48,7 +58,7 @@ def feed_rows(lines: DataFrame, fmt: str, schema: T.StructType) -> DataFrame:
         return lines.select(cells, "_batch", "_source_file").select("_c.*", "_batch", "_source_file")
     size = len(schema) + EXTRA_COLUMNS
     places = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(size)])
-    parsed = lines.select("places", "width", "_batch", "_source_file", F.from_csv("value", places.simpleString()[7:-1].replace(":", " ")).alias("_c"))
+    parsed = lines.select("places", "width", "_batch", "_source_file", F.from_csv(filled("value", size), places.simpleString()[7:-1].replace(":", " ")).alias("_c"))
     cells = parsed.select("places", "width", "_batch", "_source_file", F.array(*[f"_c.c{i}" for i in range(size)]).alias("_a"))
     wide = F.when(F.col("width") > size, F.raise_error(F.concat(F.lit("too many columns in "), F.col("_source_file"))))
 

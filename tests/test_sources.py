@@ -239,6 +239,39 @@ def test_feeds_are_read_where_sources_take_no_filters(spark, tmp_path):
         spark.conf.set(setting, "true")
 
 
+def test_short_and_long_lines_with_and_without_quotes(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('ping_id,other,speed_kmh\n1\n2,x,2.5\n3,x,3.5,y,z\n"4",x,4.5\n"5,x\n6,\\,6.5\n,,\n' + "7,x,7.5" + "," * 200 + "\n")
+    rows = landing.read_lines(spark, str(tmp_path / "a.csv"), "csv", SHORT)
+    seen = [(r["ping_id"], r["speed_kmh"]) for r in rows.collect()]
+    assert seen == [("1", None), ("2", "2.5"), ("3", "3.5"), ("4", "4.5"), ("5,x", None), ("6", "6.5"), (None, None), ("7", "7.5")]
+    # Lines without quotes are as long as the parser expects, so none costs it an exception.
+    lines = spark.createDataFrame([("1",), ("2,x",), ('"3",x',), ("4,x,y,z",)], "value string")
+    assert [r[0] for r in lines.select(landing.filled("value", 3)).collect()] == ["1,,", "2,x,", '"3",x', "4,x,y,z"]
+
+
+def test_a_stream_lists_its_folders_once_for_many_triggers(tmp_path, monkeypatch):
+    for i in range(7):
+        (tmp_path / f"{i}.csv").write_text("a\n1\n")
+    lists = []
+    find = feed_source.find
+    monkeypatch.setattr(feed_source, "find", lambda *a: lists.append(a) or find(*a))
+    options = {"paths": json.dumps([str(tmp_path / "*.csv")]), "columns": "[]", "log": str(tmp_path / "log"), "files_per_trigger": "2"}
+    reader = feed_source.FeedStreamReader(options)
+    assert [reader.latestOffset()["entries"] for _ in range(4)] == [1, 2, 3, 4] and len(lists) == 1
+    (tmp_path / "late.csv").write_text("a\n2\n")
+    assert reader.latestOffset()["entries"] == 5 and len(lists) == 2 and reader.latestOffset()["entries"] == 5
+    # A restart goes on behind the log.
+    assert feed_source.FeedStreamReader(options).latestOffset()["entries"] == 5
+    names = [f["path"].rsplit("/", 1)[-1] for n in range(1, 6) for f in reader._entry(n)]
+    assert sorted(names) == sorted([*(f"{i}.csv" for i in range(7)), "late.csv"])
+
+
+def test_bytes_are_dealt_over_the_cores():
+    found = [feed_source.Found("a", "b", 100 << 20, 0)]
+    assert len(feed_source.deal(found, feed_source.share(found, feed_source.RANGE, 8))) == 8
+    assert feed_source.share(found, feed_source.RANGE, 1) == feed_source.RANGE and feed_source.share([], feed_source.RANGE, 8) == feed_source.BLOCK
+
+
 def test_json_gzip_quotes_and_too_wide_headers(spark, tmp_path):
     import gzip
 
