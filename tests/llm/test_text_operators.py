@@ -253,6 +253,17 @@ def test_lm_trains_on_windows_of_all_rows(spark):
     assert lm._counted(encoded, lambda line: np.zeros(int((line[1:] >= 0).sum()), np.int64), 1)[0] == targets + len(rows)
 
 
+def test_lm_fits_on_every_window(spark, monkeypatch):
+    rows = frame(spark, [doc(i, f"only {i} words") for i in range(900)]).selectExpr("doc_id", "cast(text as binary) as body")
+    seen = []
+    monkeypatch.setattr(lm, "_round", lambda windows, *_: seen.append({r.place for r in windows.collect()}))
+    monkeypatch.setattr(lm, "SHARD", 300)
+    lm.train(rows, lm.word_counts(rows.select("body")), PATH)
+    # Each window in one round.
+    assert len(seen) == lm.ROUNDS and sum(map(len, seen)) == len(set().union(*seen)) == 900
+    assert min(map(len, seen)) > 200
+
+
 def test_lm_missing_targets_have_no_gradient():
     model = tiny_model()
     windows = np.random.default_rng(5).integers(0, 300, (3, lm.WINDOW + 1))
