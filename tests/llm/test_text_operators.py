@@ -264,6 +264,23 @@ def test_lm_fits_on_every_window(spark, monkeypatch):
     assert min(map(len, seen)) > 200
 
 
+def test_lm_shuffles_packed_windows_only(spark, monkeypatch):
+    rows = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 11}" for j in range(300))) for i in range(40)], "doc_id bigint, text string")
+    rows = rows.selectExpr("doc_id", "cast(text as binary) body")
+    windows = lm.training_windows(lm._encoded(rows, PATH), 1.0, 4)
+    given = sorted(r.ids for r in windows.collect())
+    packed = lm._packed(windows, "<u2").collect()
+    assert sorted(w.tobytes() for r in packed for w in lm._unpack(r.ids, r.n, "<u2")) == given
+    # A window's past is the window before it; the ids alone are 2 bytes each.
+    assert sum(len(r.ids) for r in packed) < len(given) * lm.STEP * 2
+    again = lm._by_content(np.stack([np.frombuffer(w, "<i4") for w in reversed(given)]))
+    assert (again == lm._by_content(np.stack([np.frombuffer(w, "<i4") for w in given]))).all()
+    written = []
+    monkeypatch.setattr(lm, "stored", lambda df, label, keep=lm.stored: written.append(label) or keep(df, label))
+    lm.train(rows, lm.word_counts(rows.select("body")), PATH)
+    assert written == ["lm-ids"]
+
+
 def test_lm_missing_targets_have_no_gradient():
     model = tiny_model()
     windows = np.random.default_rng(5).integers(0, 300, (3, lm.WINDOW + 1))
