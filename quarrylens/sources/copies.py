@@ -45,7 +45,8 @@ def differing_ranges(source: DataFrame, copy: DataFrame, columns: Sequence[str])
 def refresh_copy(spark: SparkSession, source: DataFrame, target: str, keys: Sequence[str], ranges: int = RANGES) -> list[int]:
     """Make ``target`` equal to ``source`` and return the ranges that had to be written.
 
-    ``target`` is created on first use, partitioned by range; NULL keys share a range.
+    ``target`` is created on first use, partitioned by range; NULL keys share a range.  ``source`` is
+    read twice where ranges differ: store one that is costly to compute.
     """
     columns = source.columns
     ranged = source.withColumn(RANGE, range_of(keys, ranges))

@@ -254,3 +254,20 @@ def test_failed_stream_is_reported(spark, tmp_path):
     broken = lambda batch: batch.select(F.raise_error(F.lit("no")).cast("int").alias("x"))
     with pytest.raises(Exception, match="no"):
         jobs.run_to_end(jobs.write_log(stream, str(tmp_path / "log"), str(tmp_path / "ckpt"), shape=broken))
+
+
+@pytest.mark.parametrize("key, name, column", [("b6_refreshed_copy", "silver_invoices", "invoice_id")])
+def test_input_is_computed_once(spark, tables, monkeypatch, key, name, column):
+    from quarrylens.plans import operator_queries
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def look(value):
+        seen.add(1)
+        return value
+
+    rows = tables[name].limit(300)
+    looked = rows.withColumn(column, F.udf(look, "string").asNondeterministic()(column))
+    monkeypatch.setattr(operator_queries, "derived_tables", lambda *_: {name: looked})
+    operator_queries.STREAMS[key](spark, "").count()
+    assert seen.value == rows.count()
