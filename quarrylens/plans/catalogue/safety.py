@@ -25,6 +25,7 @@ from quarrylens.functions.vocab import OPEN_STATUSES, SEVERITIES, SIGNIFICANT
 from quarrylens.operators.aggregate import by, by_period, order_by_domain
 from quarrylens.operators.joins import join_left_agg
 from quarrylens.operators.latest import latest_snapshot
+from quarrylens.operators.partitions import in_order
 from quarrylens.operators.windows import arg_max, month_over_month, share_of_group, top_k
 from quarrylens.plans.catalogue.base import query
 from quarrylens.sources.tables import Tables
@@ -289,22 +290,19 @@ def failed_tests_once(t: Tables, kinds: Sequence[str] = ("weld_test", "concrete_
 
 def _failed_tests(t: Tables, names: DataFrame, kinds: Sequence[str]) -> DataFrame:
     failed = t["inspections"].filter((F.col("result") == "fail") & F.col("inspection_type").isin(*kinds))
-    return (
-        failed.join(names, "project_id", "left")
-        .select(
-            "inspection_id",
-            "project_name",
-            "site_name",
-            "inspection_type",
-            "discipline",
-            "defect_category",
-            F.col("severity").alias("defect_severity"),
-            "rework_cost_aud",
-            "inspector",
-            "inspection_date",
-        )
-        .orderBy(F.desc("inspection_date"), "inspection_id")
-    )
+    rows = failed.join(names, "project_id", "left").select(
+        "inspection_id",
+        "project_name",
+        "site_name",
+        "inspection_type",
+        "discipline",
+        "defect_category",
+        F.col("severity").alias("defect_severity"),
+        "rework_cost_aud",
+        "inspector",
+        "inspection_date",
+    )
+    return in_order(rows, F.desc("inspection_date"), "inspection_id")
 
 
 @query("q_sf_16", "Night noise compliance")

@@ -285,3 +285,30 @@ def test_eval_rollup_by_mean_score(spark):
     scores = spark.createDataFrame(rows, "run_id string, evaluator string, passed boolean, score double")
     out = {(r["run_id"], r["evaluator"]): r["meets_target"] for r in eval_rollup(scores).collect()}
     assert out == {("r1", "coherence"): True, ("r2", "coherence"): False, ("r1", "violence"): True, ("r2", "violence"): False}
+
+
+def test_partitions_follow_the_stored_input(spark, tmp_path, monkeypatch):
+    from quarrylens.operators import partitions
+
+    spark.range(3000).selectExpr("id", "cast(id * 7919 % 3000 as string) s").write.parquet(str(tmp_path / "t"))
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    size = partitions.stored_bytes(rows)
+    assert size > 0 and partitions.stored_bytes(rows.crossJoin(rows.select(F.col("id").alias("other")))) == 2 * size
+    assert partitions.dealt(rows, "id") is rows
+    monkeypatch.setattr(partitions, "PER_TASK", size // 20)
+    assert partitions.dealt(rows, "id").rdd.getNumPartitions() >= 20
+    ordered = partitions.in_order(rows, F.desc("s"), "id")
+    assert ordered.rdd.getNumPartitions() > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert ordered.collect() == rows.orderBy(F.desc("s"), "id").collect()
+
+
+@pytest.mark.parametrize("key", ["q_sf_15", "q_sf_15_safe"])
+def test_large_inputs_give_the_same_rows_in_more_tasks(spark, tables, monkeypatch, key):
+    from quarrylens.operators import partitions
+    from quarrylens.plans.catalogue import CATALOGUE
+
+    want = CATALOGUE[key](tables).collect()
+    monkeypatch.setattr(partitions, "PER_TASK", 1 << 14)
+    found = CATALOGUE[key](tables)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().executedPlan().toString()
+    assert found.collect() == want
