@@ -12,6 +12,7 @@ from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import dec, pct, ratio, rnd
 from quarrylens.functions.predicates import domain_rank
 from quarrylens.functions.vocab import AVAILABILITY, STOCK_STATUSES
+from quarrylens.operators.partitions import dealt
 from quarrylens.operators.windows import arg_max, concentration, ranked, top_k
 from quarrylens.plans import gold
 from quarrylens.plans.catalogue.base import query
@@ -193,7 +194,8 @@ def spend_by_project(t: Tables, safe: bool = False) -> DataFrame:
     times = F.lit(1).cast("bigint") if safe else F.col("_snapshots")
     orders = t["project_materials"].filter(F.col("project_id").isNotNull()).drop("division")
     return (
-        orders.join(names, "project_id")
+        dealt(orders, "project_id")
+        .join(names, "project_id")
         .groupBy("project_name", "division")
         .agg(
             F.sum(times).alias("orders"),

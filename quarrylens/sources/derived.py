@@ -17,6 +17,7 @@ from quarrylens.functions import aggs, rules
 from quarrylens.functions.numeric import dec, rnd
 from quarrylens.functions.predicates import label
 from quarrylens.operators.latest import dedup_latest
+from quarrylens.operators.partitions import dealt
 from quarrylens.sources.tables import Tables
 
 BASE_TABLES = (
@@ -508,7 +509,7 @@ def materials(t: Tables) -> DataFrame:
 def project_materials(t: Tables) -> DataFrame:
     """Materials with the project that last ordered them."""
     owner = t["orders"].select("o_orderkey", _text("o_custkey").alias("project_id"))
-    return t["materials"].join(owner, F.col("_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
+    return dealt(t["materials"], "_orderkey").join(owner, F.col("_orderkey") == F.col("o_orderkey")).drop("o_orderkey")
 
 
 def bill(t: Tables) -> DataFrame:

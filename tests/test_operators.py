@@ -302,7 +302,7 @@ def test_partitions_follow_the_stored_input(spark, tmp_path, monkeypatch):
     assert ordered.collect() == rows.orderBy(F.desc("s"), "id").collect()
 
 
-@pytest.mark.parametrize("key", ["q_sf_15", "q_sf_15_safe"])
+@pytest.mark.parametrize("key", ["q_sf_15", "q_sf_15_safe", "q_pr_12", "q_pr_12_safe"])
 def test_large_inputs_give_the_same_rows_in_more_tasks(spark, tables, monkeypatch, key):
     from quarrylens.operators import partitions
     from quarrylens.plans.catalogue import CATALOGUE
