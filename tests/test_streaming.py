@@ -256,7 +256,7 @@ def test_failed_stream_is_reported(spark, tmp_path):
         jobs.run_to_end(jobs.write_log(stream, str(tmp_path / "log"), str(tmp_path / "ckpt"), shape=broken))
 
 
-@pytest.mark.parametrize("key, name, column", [("b6_refreshed_copy", "silver_invoices", "invoice_id")])
+@pytest.mark.parametrize("key, name, column", [("b6_refreshed_copy", "silver_invoices", "invoice_id"), ("j8_stream_refresh_mv", "silver_deliveries", "delivery_id")])
 def test_input_is_computed_once(spark, tables, monkeypatch, key, name, column):
     from quarrylens.plans import operator_queries
 
@@ -271,3 +271,19 @@ def test_input_is_computed_once(spark, tables, monkeypatch, key, name, column):
     monkeypatch.setattr(operator_queries, "derived_tables", lambda *_: {name: looked})
     operator_queries.STREAMS[key](spark, "").count()
     assert seen.value == rows.count()
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    sizes = [f"spark.sql.adaptive.{name}" for name in ("advisoryPartitionSizeInBytes", "coalescePartitions.minPartitionSize")]
+    before = [spark.conf.get(size) for size in sizes]
+    for size in sizes:
+        spark.conf.set(size, "10k")
+    try:
+        table = keyed(spark, tmp_path / "t")
+        rows = spark.range(20000).selectExpr("cast(id as string) k", "cast(id as int) v").repartition(8)
+        table.append(rows, 0)
+    finally:
+        for size, value in zip(sizes, before):
+            spark.conf.set(size, value)
+    assert len(list((tmp_path / "t").rglob("*.parquet"))) > 1
+    assert table.read().count() == 20000 == table.lookup(rows.select("k")).count()
