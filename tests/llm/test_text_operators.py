@@ -333,6 +333,55 @@ def test_lm_gradients():
         assert grads[name][at] == pytest.approx((up - down) / 2e-4, rel=1e-2, abs=1e-7), name
 
 
+def test_lm_hidden_ids_weigh_nothing():
+    model = tiny_model()
+    query, key, _ = model.tables()
+    slots = model.slot[np.random.default_rng(6).integers(0, 300, (3, lm.WINDOW))]
+    attention = lm._attend(query[slots[:, lm.WINDOW - lm.STEP :]], key[slots], lm._offsets(model))
+    # Exactly 0: what was left of them made the products slow.
+    assert (attention[:, lm._BACK < 0] == 0).all() and (attention[:, lm._BACK >= 0] > 0).all()
+
+
+def test_lm_pass_moves_weights_as_plain_adam(monkeypatch):
+    rng = np.random.default_rng(8)
+    # Some ids come late, others are not seen again; 300 steps are beyond two of the moments' settlings.
+    windows = np.concatenate([rng.integers(low, low + 60, (256, lm.WINDOW + 1)) for low in range(0, 300, 60)])
+    one, plain = tiny_model(), tiny_model()
+    steps = [np.sort(rng.integers(0, 1280, 3)) for _ in range(300)]
+    monkeypatch.setattr(lm.np, "array_split", lambda *_: steps)
+    lm._one_pass(one, windows, 0.01, 1)
+    monkeypatch.undo()
+    weights = plain.weights
+    first, second = ({k: np.zeros_like(v) for k, v in weights.items()} for _ in range(2))
+    for step, rows in enumerate(steps, 1):
+        for name, grad in lm._gradients(plain, windows[rows]).items():
+            first[name] = 0.9 * first[name] + 0.1 * grad
+            second[name] = 0.99 * second[name] + 0.01 * grad**2
+            move = (first[name] / (1 - 0.9**step)) / (np.sqrt(second[name] / (1 - 0.99**step)) + 1e-6)
+            weights[name] -= (0.01 * move).astype(np.float32)
+    for name in weights:
+        assert np.allclose(one.weights[name], weights[name], atol=1e-3), name
+        assert np.abs(one.weights[name] - weights[name]).mean() < 1e-4, name
+    # A step's gradients are rows of the slots in use only.
+    _, some = lm._row_gradients(one, windows[:4], lm._Room())
+    assert all(len(at) == len(grad) <= 4 * lm.WINDOW for at, grad in some.values())
+
+
+def test_lm_sizes_are_packed():
+    for sizes in ([0, 3, 1], [254, 255, 256, 0, 510, 70_000], [255], []):
+        assert lm._unpack_sizes(lm._pack_sizes(np.array(sizes, np.int64))).tolist() == sizes
+
+
+def test_lm_encodes_each_text_once(spark, monkeypatch):
+    rows = [doc(i, f"some words {i} and " + "\u6f22" * 400 * (i % 2)) for i in range(30)]
+    read = {}
+    monkeypatch.setattr(lm, "stored", lambda df, label, keep=lm.stored: read.update({label: df.inputFiles()}) or keep(df, label))
+    assert lm.score_documents(frame(spark, rows), PATH).count() == 30
+    # Training and scoring read the same stored ids.
+    assert set(read) == {"lm-counts", "lm-ids", "lm-scores"}
+    assert read["lm-scores"] and all("/lm-ids-" in path for path in read["lm-scores"])
+
+
 # --- 6: line dedup ---
 
 
