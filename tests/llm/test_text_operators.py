@@ -372,6 +372,15 @@ def test_lm_sizes_are_packed():
         assert lm._unpack_sizes(lm._pack_sizes(np.array(sizes, np.int64))).tolist() == sizes
 
 
+def test_lm_scores_without_training_rows(spark):
+    out = lm.score_documents(frame(spark, [doc(None, "only held out"), doc(None, None)]), PATH).collect()
+    assert sorted((r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in out) == [
+        (True, 1, 0, 0, 0.0),
+        (True, 4, 0, 0, 0.0),
+    ]
+    assert all(math.isfinite(r.score) and r.score < 0 for r in out)
+
+
 def test_lm_encodes_each_text_once(spark, monkeypatch):
     rows = [doc(i, f"some words {i} and " + "\u6f22" * 400 * (i % 2)) for i in range(30)]
     read = {}
