@@ -157,6 +157,8 @@ def linked_fingerprints(prints: DataFrame, threshold: int = 2) -> DataFrame:
     homes = spread.where("home").select("anchor", F.col("fp").alias("a"))
     visitors = spread.select("anchor", F.col("fp").alias("b"), "home")
     close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
+    # The planner knows the size of the stored prints, not of their copies: by that it would send millions of rows through the driver.
+    homes, visitors = homes.hint("merge"), visitors.hint("merge")
     # Two homes of one anchor meet in both orders, a visitor meets a home at each side's anchor.
     return homes.join(visitors, "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
 

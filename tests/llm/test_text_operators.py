@@ -517,6 +517,12 @@ def test_anchor_links_equal_brute_force(spark):
     assert found == expect
 
 
+def test_copies_of_prints_are_not_sent_through_the_driver(spark):
+    prints = spark.range(1000).select(F.xxhash64("id").alias("fp"))
+    plan = simhash.linked_fingerprints(prints)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # --- 10: repeated byte strings ---
 
 
