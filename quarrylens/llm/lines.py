@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrylens.llm.common import stored
+from quarrylens.llm.common import sent_whole, stored
 
 # A line on more than this share of a host's pages, and on at least so many of them, is boilerplate.
 RATIO = 0.01
@@ -46,20 +46,22 @@ def drop_boilerplate(
     becomes empty; an empty table stays empty.
 
     Counts are added up in the map tasks; the lines of a hot host are dealt out by line, and a
-    line on many pages is joined in ``salts`` parts.
+    line on many pages is joined in ``salts`` parts, unless the dropped lines are sent to all tasks.
     """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(host_col).alias("host"), F.array_compact(F.array_distinct(_keys(F.col(text_col)))).alias("keys")
     )
     lines = rows.select("id", "host", F.explode("keys").alias("key"))
     drops = stored(boilerplate(lines, docs.select(F.col(host_col).alias("host")), ratio, min_pages), "lines-drops")
-    drops = drops.select(F.col("host").alias("drop_host"), F.col("key").alias("drop_key"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    salted = lines.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
-    hits = salted.join(
-        drops,
-        (F.col("key") == F.col("drop_key")) & F.col("host").eqNullSafe(F.col("drop_host")) & (F.col("at") == F.col("salt")),
-        "left_semi",
-    )
+    drops = drops.select(F.col("host").alias("drop_host"), F.col("key").alias("drop_key"))
+    same = (F.col("key") == F.col("drop_key")) & F.col("host").eqNullSafe(F.col("drop_host"))
+    if sent_whole(drops):
+        hits = lines.join(drops, same, "left_semi")
+    else:
+        # The planner takes the parts for one, by the size of the stored drops: it may not send them.
+        parts = drops.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
+        salted = lines.withColumn("at", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int"))
+        hits = salted.join(parts, same & (F.col("at") == F.col("salt")), "left_semi")
     marks = hits.groupBy("id", "host").agg(F.collect_set("key").alias("keys_gone"))
     marks = marks.select(F.col("id").alias("mark_id"), F.col("host").alias("mark_host"), "keys_gone")
 

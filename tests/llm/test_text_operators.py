@@ -410,6 +410,31 @@ def test_line_dedup(spark):
     assert lines.drop_boilerplate(frame(spark, [])).count() == 0
 
 
+def limited(spark, size, make):
+    """What ``make`` gives while tables up to ``size`` bytes may be sent to all tasks."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        return make()
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_parts_of_dropped_lines_are_not_taken_for_small(spark):
+    rows = [doc(i, "\n".join(f"menu {i % 2} {k}" for k in range(200)) + f"\nbody {i}", f"s{i % 2}") for i in range(12)]
+    docs = frame(spark, rows)
+    found = {}
+    # Stored, the 400 lines take some 10 kB: each of their parts alone passes the first limit, unpacked and all together they do not.
+    for size in ("20000", "10000000", "-1"):
+        made = limited(spark, size, lambda: lines.drop_boilerplate(docs))
+        joins = re.findall(r"(\w+Join)\b[^\n]*LeftSemi", made._jdf.queryExecution().executedPlan().toString())
+        got = limited(spark, size, made.collect)
+        found[size] = joins[0], sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in got)
+    assert [found[size][0] for size in ("20000", "10000000", "-1")] == ["SortMergeJoin", "BroadcastHashJoin", "SortMergeJoin"]
+    assert all(f[1] == sorted((i, f"body {i}", 201, 200) for i in range(12)) for f in found.values())
+
+
 # --- 7: packing ---
 
 
