@@ -10,11 +10,14 @@ vector lives in its home cell and visits the neighbours within the radius that s
 two vectors within the radius meet in exactly one cell.  A link is counted in the first block
 that admits it, hence once.  Cells with many rows are compared tile by tile.  Tasks return sums
 and one edge per linked vector, never the pairs.
+
+A few blocks at a time are searched, so that the copies of the vectors that lie on disk at once
+are few however many blocks there are.
 """
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +25,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrylens.llm.common import components, map_arrow, stored
+from quarrylens.operators.partitions import stored_bytes
 
 COSINE = 0.93
 BLOCK_DIMS = 8
 GRID_DIMS = 2
-TILE_ROWS = 2048
+TILE_ROWS = 16384
+# Pairs whose distances in a block are held at once.
+PAIRS = 1 << 21
+# Copies of vectors that are shuffled at once take about so many bytes, and those of one block at least.
+SHUFFLED = 256 << 20
+# Cells that a vector lives in or visits in one block, about.
+VISITS = 5
 SLACK = 1e-9
+# Distances in a block are first worked out in single precision, where they are off by less.
+SINGLE_SLACK = 1e-5
 
 
 @lru_cache(maxsize=4)
@@ -54,12 +66,15 @@ def rotated(vectors: np.ndarray) -> np.ndarray:
     return np.einsum("ij,jk->ik", unit, rotation(vectors.shape[1]), optimize=False)
 
 
-def cells(vectors: np.ndarray, cosine: float) -> tuple[np.ndarray, ...]:
-    """(row, block, cell x, cell y, home) of every cell that the vectors live in or visit."""
+def cells(vectors: np.ndarray, cosine: float, numbers: range) -> tuple[np.ndarray, ...]:
+    """(row, block, cell x, cell y, home) of every cell that the vectors live in or visit, in the blocks of these numbers."""
     dims = vectors.shape[1]
     at, everyone = rotated(vectors), np.arange(len(vectors))
-    out = []
+    none = np.zeros(0, np.int64)
+    out = [(none, none, none, none, none.astype(bool))]
     for number, (block, budget) in enumerate(zip(blocks(dims), budgets(dims, cosine))):
+        if number not in numbers:
+            continue
         radius = np.sqrt(budget)
         place = at[:, block][:, :GRID_DIMS] / (2 * radius)
         if place.shape[1] < GRID_DIMS:
@@ -107,17 +122,23 @@ def compare_tile(
     parts, limits = blocks(dims), budgets(dims, cosine)
     at, norms = rotated(vectors), np.sqrt(np.einsum("ij,ij->i", vectors, vectors))
     mine = at[:, parts[block]]
-    squares = np.einsum("ij,ij->i", mine, mine)
+    squares, ones = np.einsum("ij,ij->i", mine, mine)[:, None], np.ones((n, 1))
+    # Products of these rows are squared distances; every pair that they admit is checked exactly.
+    left, right = (np.hstack(x).astype(np.float32) for x in ([-2 * mine, squares, ones], [mine, ones, squares]))
     links, root = np.zeros(n, np.int64), np.arange(n)
-    for begin in range(0, n, 256):
-        rows = np.arange(begin, min(begin + 256, n))
-        close = squares[rows, None] + squares[None, :] - 2 * mine[rows] @ mine.T <= limits[block] + SLACK
-        close &= home[rows, None] | home[None, :]
-        close &= chunk[rows, None] != chunk[None, :] if two else True
-        close &= rows[:, None] < np.arange(n)[None, :]
-        first, second = np.nonzero(close)
-        for k in range(0, len(first), 20_000):
-            a, b = begin + first[k : k + 20_000], second[k : k + 20_000]
+    first = np.flatnonzero(chunk == chunk.min()) if two else np.arange(n)
+    second = np.flatnonzero(chunk != chunk.min()) if two else first
+    right = right[second]
+    step = max(1, min(256, PAIRS // max(1, len(second))))
+    for begin in range(0, len(first), step):
+        rows, begin = first[begin : begin + step], 0 if two else begin
+        close = left[rows] @ right[begin:].T <= limits[block] + SINGLE_SLACK
+        ours, theirs = np.nonzero(close)
+        ours, theirs = rows[ours], second[begin + theirs]
+        counts = (home[ours] | home[theirs]) & (two | (ours < theirs))
+        ours, theirs = ours[counts], theirs[counts]
+        for k in range(0, len(ours), 20_000):
+            a, b = ours[k : k + 20_000], theirs[k : k + 20_000]
             same = np.einsum("ij,ij->i", vectors[a], vectors[b]) >= cosine * norms[a] * norms[b]
             a, b = a[same], b[same]
             apart = np.add.reduceat((at[a] - at[b]) ** 2, [p.start for p in parts], axis=1)
@@ -148,8 +169,11 @@ def embedding_components(
     with nothing.  Equal vectors of one label are one node of the search, however many there are.
     Rows that repeat an id are vectors of their own.  An empty table gives an empty result.
     """
+    given = F.col(vector_col)
+    # Single precision is kept where it is given: half the bytes to move, and the same numbers.
+    kept = given if rows.schema[vector_col].dataType.simpleString() == "array<float>" else given.cast("array<double>")
     clean = rows.select(
-        F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).cast("array<double>").alias("vector")
+        F.col(id_col).alias("id"), F.col(label_col).alias("label"), given.cast("array<double>").alias("vector"), kept.alias("kept")
     )
     clean = clean.withColumn(
         "valid", _usable(F.col("vector")) & F.col("label").isNotNull() & F.col("id").isNotNull()
@@ -157,10 +181,10 @@ def embedding_components(
     keyed = clean.withColumn("k1", F.xxhash64("vector")).withColumn("k2", F.xxhash64(F.lit(1), "vector"))
     group = ["label", "k1", "k2"]
     nodes = keyed.where("valid").groupBy(*group).agg(
-        F.min("id").alias("node"), F.count("*").alias("n"), F.first("vector").alias("vector")
+        F.min("id").alias("node"), F.count("*").alias("n"), F.first("kept").alias("vector")
     )
     nodes = stored(nodes.withColumn("dims", F.size("vector")), "embedding-nodes")
-    links = stored(_links(nodes.select("label", "dims", "node", "n", "vector"), cosine), "embedding-links")
+    links = _links(nodes.select("label", "dims", "node", "n", "vector"), cosine)
 
     sums = links.groupBy("node").agg(F.sum("links").alias("links"))
     groups = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")), "embedding")
@@ -184,17 +208,27 @@ def embedding_components(
 
 
 def _links(nodes: DataFrame, cosine: float) -> DataFrame:
-    """``node, links, root``: per tile and linked node, weight of its links and a linked node."""
+    """``node, links, root``, stored: per tile and linked node, weight of its links and a linked node."""
+    most = nodes.agg(F.max("dims")).first()[0]
+    count = len(blocks(most)) if most else 1
+    together = max(1, SHUFFLED // (VISITS * max(1, stored_bytes(nodes))))
+    passes = [range(a, min(a + together, count)) for a in range(0, count, together)]
+    return reduce(DataFrame.union, [stored(_block_links(nodes, cosine, numbers), "embedding-links") for numbers in passes])
+
+
+def _block_links(nodes: DataFrame, cosine: float, numbers: range) -> DataFrame:
+    """The links that blocks of these numbers admit first."""
     label = nodes.schema["label"].dataType.simpleString()
     node = nodes.schema["node"].dataType.simpleString()
+    vector = nodes.schema["vector"].dataType.simpleString()
 
     def spread(batch: pa.RecordBatch) -> pa.RecordBatch:
         dims = batch.column(1).to_numpy()
         found = []
         for size in np.unique(dims):
             rows = np.flatnonzero(dims == size)
-            vectors = batch.column(4).take(pa.array(rows)).flatten().to_numpy().reshape(-1, size)
-            row, *rest = cells(vectors, cosine)
+            vectors = batch.column(4).take(pa.array(rows)).flatten().to_numpy().astype(np.float64).reshape(-1, size)
+            row, *rest = cells(vectors, cosine, numbers)
             found.append((rows[row], *rest))
         row, block, x, y, home = (np.concatenate(part) for part in zip(*found))
         columns = [c.take(pa.array(row)) for c in batch.columns]
@@ -203,11 +237,11 @@ def _links(nodes: DataFrame, cosine: float) -> DataFrame:
             names=[*batch.schema.names, "block", "x", "y", "home"],
         )
 
-    schema = f"label {label}, dims int, node {node}, n bigint, vector array<double>, block int, x bigint, y bigint, home boolean"
+    schema = f"label {label}, dims int, node {node}, n bigint, vector {vector}, block int, x bigint, y bigint, home boolean"
     copies = map_arrow(nodes, spread, schema, 1 << 20)
     cell = ["label", "dims", "block", "x", "y"]
     # Rows of crowded cells are dealt into chunks; each pair of chunks is one tile.
-    places = map_arrow(nodes, _without_vector(spread), schema.replace("vector array<double>, ", ""), 1 << 20)
+    places = map_arrow(nodes, _without_vector(spread), schema.replace(f"vector {vector}, ", ""), 1 << 20)
     crowded = places.groupBy(*cell).agg(F.count("*").alias("rows")).where(F.col("rows") > TILE_ROWS)
     crowded = stored(crowded.withColumn("chunks", F.ceil(F.col("rows") / TILE_ROWS).cast("int")).drop("rows"), "embedding-cells")
     dealt = copies.join(crowded, cell, "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
@@ -218,7 +252,7 @@ def _links(nodes: DataFrame, cosine: float) -> DataFrame:
     def tile(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
         dims = group["dims"][0].as_py()
-        vectors = np.array(group["vector"].combine_chunks().flatten().to_numpy()).reshape(-1, dims)
+        vectors = group["vector"].combine_chunks().flatten().to_numpy().astype(np.float64).reshape(-1, dims)
         low, high = group["low"][0].as_py(), group["high"][0].as_py()
         links, root = compare_tile(
             vectors,

@@ -8,6 +8,7 @@ import hashlib
 import io
 import math
 import random
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -22,7 +23,7 @@ import corpus_pipeline
 from llm.data import DOC_SCHEMA, doc, frame
 from llm.test_text_operators import brute_contamination, brute_groups, brute_prints, labelled
 from quarrylens.llm import embeddings, lines, quality, url_filter, warc
-from quarrylens.llm.common import components
+from quarrylens.llm.common import components, stored
 from quarrylens.llm.queries import ORACLES, QUERIES, RULES
 from quarrylens.session import work_dir
 
@@ -84,6 +85,38 @@ def test_embeddings(spark, monkeypatch):
     assert embeddings.embedding_components(table.limit(0)).count() == 0
 
 
+def test_embeddings_are_searched_few_blocks_at_a_time(spark, monkeypatch):
+    rows = [r for r in vectors() if r[1] and None not in r[1]]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    single = [(i, np.array(v, np.float32).astype(float).tolist(), label) for i, v, label in rows]
+    widths = []
+    keep = embeddings.stored
+    monkeypatch.setattr(embeddings, "SHUFFLED", 1)
+    monkeypatch.setattr(embeddings, "TILE_ROWS", 64)
+    monkeypatch.setattr(embeddings, "stored", lambda df, label: (widths.append((label, df.dtypes)), keep(df, label))[1])
+    found = embeddings.embedding_components(table).where("vec_id IS NOT NULL").collect()
+    assert {r.vec_id: tuple(r)[1:] for r in found} == brute_links(single)
+    assert sum(label == "embedding-links" for label, _ in widths) == 8
+    assert ("vector", "array<float>") in dict(widths)["embedding-nodes"]
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    def files():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {every.apply(i).getName() for i in range(every.size()) if every.apply(i).getName().startswith("shuffle_")}
+
+    before = files()
+    rows = stored(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "groups")
+    left = lambda: [name for name in files() - before if name.endswith(".data")]
+    for _ in range(50):
+        # They are removed beside the run.
+        if not left():
+            break
+        time.sleep(0.1)
+    assert not left()
+    assert rows.count() == 7
+
+
 # --- 4: URLs ---
 
 
