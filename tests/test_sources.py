@@ -311,3 +311,16 @@ def test_a_changed_row_rewrites_one_range(spark):
     assert len(refresh(few)) == 16 and same(few)
     with pytest.raises(ValueError):
         refresh(few.drop("w"))
+
+
+def test_landed_receipts_are_packed_and_dealt_to_files(spark, tables, tmp_path, monkeypatch):
+    from quarrylens.plans import operator_queries
+
+    monkeypatch.setattr(operator_queries, "work_dir", lambda *_: str(tmp_path))
+    monkeypatch.setattr(operator_queries, "derived_tables", lambda *_: tables)
+    monkeypatch.setitem(operator_queries.PACKED_LINES, "maxRecordsPerFile", 500)
+    out = operator_queries.STREAMS["a3_json_feed"](spark, "").collect()
+    landed = [f.name for f in (tmp_path / "landing").rglob("*/part-*")]
+    rows = tables["bronze_delivery_receipts"].count()
+    assert len(landed) >= rows // 500 and all(n.endswith(".json.gz") for n in landed)
+    assert sum(r.receipts for r in out) == rows
