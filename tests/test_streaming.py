@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -190,6 +191,31 @@ def test_incremental_product_survives_a_crash_between_its_tables(spark, tables,
     assert execution_match(product.read(), gold.delivery_performance(rows)).first()["is_match"]
 
 
+def test_a_batch_that_all_tables_have_leaves_no_log_and_no_shuffle_files(spark, tables, tmp_path):
+    def shuffled():
+        every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        found = {every.apply(i).getName() for i in range(every.size())}
+        return {name for name in found if name.startswith("shuffle_") and name.endswith(".data")}
+
+    rows, first, corrections = delivery_parts(tables)
+    parts = []
+    for n, part in enumerate((first, corrections)):
+        part.write.parquet(str(tmp_path / f"p{n}"))
+        parts.append(spark.read.schema(part.schema).parquet(str(tmp_path / f"p{n}")))
+    product = products.DeliveryPerformance(spark, str(tmp_path / "mv"), rows.schema, ["version"], buckets=2)
+    before = shuffled()
+    for n, part in enumerate(parts):
+        product.apply(part, n)
+        assert not files.names(spark, str(tmp_path / "mv" / "deltas"))
+    for _ in range(50):
+        # They are removed beside the run.
+        if not shuffled() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffled() - before
+    assert execution_match(product.read(), gold.delivery_performance(rows)).first()["is_match"]
+
+
 def test_newest_state_with_late_rows_and_restart(spark, tmp_path):
     src, path, ckpt = (str(tmp_path / n) for n in ("src", "t", "ckpt"))
     for rows in (
