@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrylens.operators.evaluate import execution_match
+from quarrylens.operators.latest import dedup_latest
 from quarrylens.plans import gold
 from quarrylens.sources import files, schemas
 from quarrylens.streaming import jobs, products
@@ -191,6 +192,31 @@ def test_incremental_product_survives_a_crash_between_its_tables(spark, tables,
     assert execution_match(product.read(), gold.delivery_performance(rows)).first()["is_match"]
 
 
+@pytest.mark.parametrize("kind", ["string", "bigint", "double", "date", "boolean"])
+def test_lookup_window_and_join_share_their_exchanges(spark, tmp_path, kind):
+    values = {"string": "''", "bigint": "0", "double": "0.0", "date": "'1970-01-01'", "boolean": "false"}
+    rows = spark.sql(f"SELECT cast(k AS {kind}) AS k, v FROM VALUES ({values[kind]}, 1), (NULL, 2) AS t(k, v)")
+    table = KeyedTable(spark, str(tmp_path), rows.schema, ("k",), ("v",), buckets=2)
+    table.append(rows, 0)
+    # A NULL key is not taken for the value that stands for it.
+    assert [r["v"] for r in table.lookup(rows.where("k IS NULL")).collect()] == [2]
+    assert [r["v"] for r in table.lookup(rows.where("v = 1")).collect()] == [1]
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.optimizer.dynamicPartitionPruning.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        new = table.dealt_by(rows)
+        both = dedup_latest(new, table.by, ["v"]).select(*table.by, F.col("v").alias("now")).join(table.found(new), table.by, "left")
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        assert sorted((r["now"], r["v"]) for r in both.collect()) == [(1, 1), (2, 2)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    # The batch, what is stored, and the keys asked for; numbers that joins make plain first are dealt once more.
+    assert plan.count("Exchange hashpartitioning") == (4 if kind == "double" else 3)
+
+
 def test_a_batch_that_all_tables_have_leaves_no_log_and_no_shuffle_files(spark, tables, tmp_path):
     def shuffled():
         every = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
